@@ -1,0 +1 @@
+"""Kept empty on purpose: every job here is a batch job, there is no stream to process."""
