@@ -79,9 +79,15 @@ class Triples:
 
     # seed tables that several queries start from
 
+    def staged(self, df: DataFrame) -> DataFrame:
+        """Written once and read back, as the jobs do with what several passes go over."""
+        path = fresh_folder(self.spark, "stage")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def long_subjects(self) -> DataFrame:
-        return jobs.long_seed_subjects(self.sparse, self.types)
+        return self.staged(jobs.long_seed_subjects(self.sparse, self.types))
 
     @cached_property
     def full_rows(self) -> DataFrame:

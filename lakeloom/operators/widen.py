@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.text import clean_name, clean_type_name, drop_brackets, strip_brackets
 from lakeloom.functions.values import explode_range, is_text, to_number
+from lakeloom.session import fresh_folder
 
 # Most values of one (subject, predicate) pair that are held in one array.
 PIECE = 10_000
@@ -90,10 +91,26 @@ def first_values(facts: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _maps(pairs: DataFrame) -> DataFrame:
-    """``(subject, predicate, vals)`` to ``(subject, fields)``, predicates in sorted order."""
-    entries = F.array_sort(F.collect_list(F.struct("predicate", "vals")))
-    return pairs.groupBy("subject").agg(F.map_from_entries(entries).alias("fields"))
+def _map_fields(entries: Column) -> Column:
+    """Array of (predicate, v, …) structs, sorted, to a map from predicate to its array of (v, n)."""
+    names = F.array_distinct(F.transform(entries, lambda e: e["predicate"]))
+    return F.map_from_arrays(
+        names,
+        F.transform(
+            names,
+            lambda name: F.transform(
+                F.filter(entries, lambda e: e["predicate"] == name), lambda e: F.struct(e["v"], e["n"])
+            ),
+        ),
+    )
+
+
+def _maps(entries: DataFrame, *order: str) -> DataFrame:
+    """Rows of ``(subject, predicate, v, n)`` to ``(subject, fields)``, sorted by predicate and then ``order``."""
+    listed = F.array_sort(F.collect_list(F.struct("predicate", *order, "n")))
+    return (
+        entries.groupBy("subject").agg(listed.alias("listed")).select("subject", _map_fields(F.col("listed")).alias("fields"))
+    )
 
 
 def limited_fields(facts: DataFrame, max_fields: int) -> DataFrame:
@@ -101,33 +118,26 @@ def limited_fields(facts: DataFrame, max_fields: int) -> DataFrame:
     if max_fields < 1:
         raise ValueError(f"max_fields must be at least 1, got {max_fields}")
     ranked = first_values(facts, max_fields)
-    listed = F.array_sort(F.collect_list(F.struct("rank", "cat_object")))
-    pairs = ranked.groupBy("subject", "predicate").agg(
-        F.transform(
-            listed, lambda s: F.struct(s["cat_object"].alias("v"), F.lit(1).cast("long").alias("n"))
-        ).alias("vals")
-    )
-    return _maps(pairs)
+    entries = ranked.withColumnRenamed("cat_object", "v").withColumn("n", F.lit(1).cast("long"))
+    return _maps(entries, "rank", "v")
 
 
 def _counted_values(facts: DataFrame) -> DataFrame:
     return facts.groupBy("subject", "predicate", F.col("cat_object").alias("v")).agg(F.count("*").alias("n"))
 
 
-def _listed(pairs: DataFrame, *keys: str) -> DataFrame:
-    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("vals"))
-
-
 def all_fields(facts: DataFrame, piece: int = PIECE) -> tuple[DataFrame, dict[str, DataFrame]]:
     """``(subject, fields, pieces)`` with all values, and the pieces of large pairs by predicate.
 
     A pair with more than ``piece`` distinct values is not in ``fields``; ``pieces`` maps
     its predicate to the number of pieces, and the values are in
-    ``(subject, piece, vals)`` of that predicate. Which predicates have such pairs is
-    asked once (a list of predicate names); usually there are none and the split
-    drops out of the plan.
+    ``(subject, piece, vals)`` of that predicate. The counted values are written once to
+    the shared folder, because two passes go over them: one asks which predicates have
+    such pairs (usually none, and then the split is not in the plan), one builds the maps.
     """
-    counted = _counted_values(facts)
+    stage = fresh_folder(facts.sparkSession, "values")
+    _counted_values(facts).write.parquet(stage)
+    counted = facts.sparkSession.read.parquet(stage)
     large = (
         counted.groupBy("subject", "predicate")
         .agg(F.count("*").alias("size"))
@@ -135,20 +145,19 @@ def all_fields(facts: DataFrame, piece: int = PIECE) -> tuple[DataFrame, dict[st
         .withColumn("n_pieces", F.ceil(F.col("size") / piece))
     )
     names = [r[0] for r in large.select("predicate").distinct().collect()]
-    empty = F.lit(None).cast("map<string,bigint>")
     if not names:
-        return _maps(_listed(counted, "subject", "predicate")).withColumn("pieces", empty), {}
+        return _maps(counted, "v").withColumn("pieces", F.lit(None).cast("map<string,bigint>")), {}
 
     marked = counted.join(large.select("subject", "predicate", "n_pieces"), ["subject", "predicate"], "left")
-    small = _maps(_listed(marked.filter("n_pieces is null"), "subject", "predicate"))
+    small = _maps(marked.filter("n_pieces is null"), "v")
     numbers = large.groupBy("subject").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("predicate", "n_pieces")))).alias("pieces")
     )
-    cut = _listed(
-        marked.filter("n_pieces is not null").withColumn("piece", F.pmod(F.xxhash64("v"), F.col("n_pieces"))),
-        "subject",
-        "predicate",
-        "piece",
+    cut = (
+        marked.filter("n_pieces is not null")
+        .withColumn("piece", F.pmod(F.xxhash64("v"), F.col("n_pieces")))
+        .groupBy("subject", "predicate", "piece")
+        .agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("vals"))
     )
     parts = {name: cut.filter(F.col("predicate") == name).drop("predicate") for name in sorted(names)}
     return small.join(numbers, "subject", "full_outer"), parts
@@ -259,7 +268,8 @@ def product_rows(subjects: DataFrame) -> DataFrame:
     """Seed rows ``(seed_table, subject, row_key, attrs)``: the row product of the value arrays.
 
     Row i of a subject takes value ``(i div stride) mod size`` of each predicate, so the
-    product is a numbered range and is never held as a whole.
+    product is a numbered range and is never held as a whole. Subjects with ``copies``
+    repeat each row that often, and once for every copy of its values.
     """
     names = set(subjects.columns)
     copies = F.col("copies") if "copies" in names else F.lit(1).cast("long")
@@ -290,8 +300,11 @@ def product_rows(subjects: DataFrame) -> DataFrame:
         ),
     )
     rows = numbered.select("seed_table", "subject", "copies", "part", "i", "names", picked.alias("picked"))
-    weight = F.aggregate("picked", F.col("copies"), lambda acc, x: acc * x["n"])
-    rows = explode_range(rows, weight, "copy")
+    if "copies" in names:
+        weight = F.aggregate("picked", F.col("copies"), lambda acc, x: acc * x["n"])
+        rows = explode_range(rows, weight, "copy")
+    else:
+        rows = rows.withColumn("copy", F.lit(0).cast("long"))
     return rows.select(
         "seed_table",
         "subject",

@@ -37,6 +37,25 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
+# Most rows of a table that is sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def near_members(facts: DataFrame, types: DataFrame, selected: DataFrame) -> DataFrame:
+    """Facts of the subjects of the selected types, if those subjects are few; else all facts.
+
+    The type counts say how many members there are. Up to ``BROADCAST_ROWS`` they are
+    sent to the scan of the facts, which then drops the rest before any shuffle. Beyond
+    that the facts are grouped as they are and meet their types as one row per subject,
+    which costs less than an extra shuffle of all facts for the filter.
+    """
+    total = sum(r["count"] for r in selected.collect())
+    if total > BROADCAST_ROWS:
+        return facts
+    owned = selection.members(types, selected).select("subject").distinct()
+    return facts.join(F.broadcast(owned), "subject", "left_semi")
+
+
 # -- seed rows -----------------------------------------------------------------
 
 
@@ -58,6 +77,7 @@ def base_seed_rows(
     if picked is not None:
         selected = selection.add_picked_types(selected, types, picked, top_k)
     selected = pinned(selected)
+    facts = near_members(facts, types, selected)
     chosen = pinned(
         widen.chosen_predicates(selection.type_predicate_counts(facts, types, selected), max_table_width)
     )
