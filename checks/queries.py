@@ -21,7 +21,7 @@ from lakeloom.operators import (
     widen,
 )
 from lakeloom.plans import jobs
-from lakeloom.session import fresh_folder
+from lakeloom.session import fresh_folder, pinned
 from lakeloom.sources import sinks, star, tables, triples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,11 +91,11 @@ class Triples:
 
     @cached_property
     def full_rows(self) -> DataFrame:
-        return widen.full_rows(self.long_subjects)
+        return self.staged(widen.full_rows(self.long_subjects))
 
     @cached_property
     def full_columns(self) -> DataFrame:
-        return widen.subject_columns(self.long_subjects, 2)
+        return pinned(widen.subject_columns(self.long_subjects, 2))
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -103,15 +103,15 @@ class Triples:
 
     def long_wide(self, name: str, facts: DataFrame | None = None) -> DataFrame:
         owned = self.members_of(name)
-        subjects = widen.long_subjects(self.facts if facts is None else facts, owned)
+        subjects = self.staged(widen.long_subjects(self.facts if facts is None else facts, owned))
         columns = widen.listed_columns(widen.subject_columns(subjects), name)
         return widen.wide_table(widen.product_rows(subjects), name, columns, text_of(name))
 
     def capped_wide(self, name: str, width: int = widen.MAX_TABLE_WIDTH) -> DataFrame:
         owned = self.members_of(name)
         pairs = selection.type_predicate_counts(self.facts, self.types, owned.select("type").distinct())
-        chosen = jobs.pinned(widen.chosen_predicates(pairs, width))
-        rows = widen.capped_rows(self.facts, owned, chosen)
+        chosen = pinned(widen.chosen_predicates(pairs, width))
+        rows = self.staged(widen.capped_rows(self.facts, owned, chosen))
         columns = widen.listed_columns(widen.table_columns(rows), name, "wordnet")
         return widen.wide_table(rows, name, columns, with_type=True)
 
@@ -909,7 +909,7 @@ def rsh_4_part(kg):
 
 @query
 def rsh_5(kg):
-    subjects = widen.long_subjects(kg.sparse, kg.members_of(ORDER))
+    subjects = kg.staged(widen.long_subjects(kg.sparse, kg.members_of(ORDER)))
     columns = widen.listed_columns(widen.subject_columns(subjects, 2), ORDER)
     return widen.wide_table(widen.full_rows(subjects), ORDER, columns, text_of(ORDER))
 
@@ -934,7 +934,8 @@ def rsh_8(kg):
 @query
 def rsh_9(kg):
     selected = selection.top_types(kg.types, 4, None)
-    chosen = widen.chosen_predicates(selection.type_predicate_counts(kg.entity, kg.types, selected))
+    selected = pinned(selected)
+    chosen = pinned(widen.chosen_predicates(selection.type_predicate_counts(kg.entity, kg.types, selected)))
     rows = widen.capped_rows(kg.entity, selection.members(kg.types, selected), chosen)
     names = ("hasStatus", "hasPriority", "containsPart", "livesIn", "hasMarketSegment", "hasBrand", "hasPartType")
     return rows.select("seed_table", "subject", *[F.col("attrs")[f"<{n}>"].alias(n) for n in names],
@@ -967,7 +968,7 @@ def comb_1_all(kg):
 
 @query
 def comb_2(kg):
-    rows = widen.product_rows(kg.long_subjects)
+    rows = kg.staged(widen.product_rows(kg.long_subjects))
     manifest, _ = combine.combination_tables(
         rows, jobs.columns_by_table(widen.subject_columns(kg.long_subjects)), (2, 3), 10
     )
@@ -978,8 +979,10 @@ def comb_2(kg):
 def comb_3(kg):
     rows = kg.full_rows.filter(F.col("seed_table") == PART)
     columns = kg.full_columns.filter(F.col("seed_table") == PART)
-    _, kept = combine.combination_tables(rows, jobs.columns_by_table(columns), (2,), 100, "any", distinct=False)
-    return kept.select(_named("cols"), "subject", cells_text("cells").alias("cells"))
+    manifest, kept = combine.combination_tables(rows, jobs.columns_by_table(columns), (2,), 100, "any", distinct=False)
+    return kept.join(manifest, ["seed_table", "subtable_id"]).select(
+        _named("cols"), "subject", cells_text("cells").alias("cells")
+    )
 
 
 # -- subtables ----------------------------------------------------------------------------------------------------

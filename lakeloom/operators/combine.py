@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.values import table_id
+from lakeloom.session import fresh_folder, pinned
 
 POLICIES = ("any", "all")
 
@@ -88,10 +89,10 @@ def rich_combinations(counts: DataFrame, min_occurrences: int, policy: str = "an
     return counts.filter(enough).select("seed_table", table_id(F.col("cols")).alias("subtable_id"), "cols")
 
 
-def values_test(values: Column, policy: str) -> Column:
-    """Does an array of cells pass: any cell filled, or all of them."""
-    filled = F.exists if policy == "any" else F.forall
-    return filled(values, lambda v: v.isNotNull())
+def passes(attrs: Column, cols: Column, policy: str) -> Column:
+    """Does a row hold a value in any of the columns, or in all of them; absent keys are the nulls."""
+    filled = F.map_keys(attrs)
+    return F.arrays_overlap(filled, cols) if policy == "any" else F.size(F.array_except(cols, filled)) == 0
 
 
 def cut_rows(rows: DataFrame, specs: DataFrame, policy: str = "any") -> DataFrame:
@@ -99,14 +100,15 @@ def cut_rows(rows: DataFrame, specs: DataFrame, policy: str = "any") -> DataFram
 
     The specs of a seed table travel as one array, so each row meets them once and
     keeps its place; the spec side is metadata and is broadcast when it is small.
+    Cells are read after the null test, and not at all by who only counts rows.
     """
     extra = [c for c in specs.columns if c != "seed_table"]
     by_table = specs.groupBy("seed_table").agg(F.collect_list(F.struct(*extra)).alias("specs"))
     cut = rows.join(by_table, "seed_table").select("seed_table", "subject", "row_key", "attrs", F.inline("specs"))
     attrs = F.col("attrs")
     return (
-        cut.withColumn("cells", F.transform("cols", lambda c: attrs[c]))
-        .filter(values_test(F.col("cells"), policy))
+        cut.filter(passes(attrs, F.col("cols"), policy))
+        .withColumn("cells", F.transform("cols", lambda c: attrs[c]))
         .drop("attrs")
     )
 
@@ -123,23 +125,29 @@ def combination_tables(
 
     With ``distinct`` (the capped kind) a combination needs at least
     ``min_occurrences`` rows and its table more than that many different ones; without
-    it (the full kind) rows are kept as they are and must be more than the minimum.
+    it (the full kind) rows are kept as they are and must be more than the minimum, so
+    the counts of the combinations already are the manifest. The different rows are
+    written once to the shared folder, then counted, then filtered.
     """
-    patterns = null_patterns(rows)
-    specs = reduce(
-        DataFrame.unionByName,
-        [
-            rich_combinations(combination_counts(patterns, tables, s), min_occurrences, policy, strict=not distinct)
-            for s in sizes
-        ],
-    )
-    cut = cut_rows(rows, specs, policy).select("seed_table", "subtable_id", "cols", "subject", "cells")
-    if distinct:
-        cut = cut.distinct()
-    manifest = (
-        cut.groupBy("seed_table", "subtable_id", "cols")
+    patterns = pinned(null_patterns(rows))
+    counts = [combination_counts(patterns, tables, s) for s in sizes]
+    every = pinned(reduce(DataFrame.unionByName, counts))
+    specs = rich_combinations(every, min_occurrences, policy, strict=not distinct)
+    cut = cut_rows(rows, specs, policy).select("seed_table", "subtable_id", "subject", "cells")
+    if not distinct:
+        sized = every.select("seed_table", "cols", F.col(f"{policy}_count").alias("n_rows"))
+        return specs.join(sized, ["seed_table", "cols"]).select("seed_table", "subtable_id", "cols", "n_rows"), cut
+
+    stage = fresh_folder(rows.sparkSession, "combinations")
+    cut.distinct().write.parquet(stage)
+    different = rows.sparkSession.read.parquet(stage)
+    sizes_of = (
+        different.groupBy("seed_table", "subtable_id")
         .agg(F.count("*").alias("n_rows"))
         .filter(F.col("n_rows") > min_occurrences)
     )
-    kept = cut.join(manifest.select("seed_table", "subtable_id"), ["seed_table", "subtable_id"], "left_semi")
+    manifest = pinned(
+        sizes_of.join(specs, ["seed_table", "subtable_id"]).select("seed_table", "subtable_id", "cols", "n_rows")
+    )
+    kept = different.join(manifest.select("seed_table", "subtable_id"), ["seed_table", "subtable_id"], "left_semi")
     return manifest, kept

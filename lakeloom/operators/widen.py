@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.text import clean_name, clean_type_name, drop_brackets, strip_brackets
 from lakeloom.functions.values import explode_range, is_text, to_number
-from lakeloom.session import fresh_folder
+from lakeloom.session import fresh_folder, pinned
 
 # Most values of one (subject, predicate) pair that are held in one array.
 PIECE = 10_000
@@ -66,10 +66,10 @@ def numeric_predicates(facts: DataFrame, by: Sequence[str] = ("predicate",), val
 def typed_binary_rows(facts: DataFrame) -> DataFrame:
     """Binary rows with ``number`` filled for tables whose values are all numbers, ``text`` for the others.
 
-    The verdicts, one row per predicate, are joined back to the facts.
+    The verdicts, one row per predicate, are found first and then joined to the facts.
     """
     rows = binary_rows(facts)
-    numeric = numeric_predicates(rows, ["predicate"], "value")
+    numeric = pinned(numeric_predicates(rows, ["predicate"], "value"))
     return rows.join(numeric, "predicate").select(
         "table",
         "subject",

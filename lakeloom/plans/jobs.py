@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.text import clean_name, lake_table_name, strip_brackets
 from lakeloom.functions.values import to_number
 from lakeloom.operators import combine, selection, subtables, widen
-from lakeloom.session import fresh_folder
+from lakeloom.session import fresh_folder, pinned
 from lakeloom.sources.sinks import check_format, in_parallel, write_binary_tables, write_partitioned, write_table
 from lakeloom.sources.triples import wordnet_subjects
 
@@ -29,14 +29,6 @@ SUBTABLES = "_subtables"
 SEED_SCHEMA = "subject string, row_key bigint, attrs map<string,string>, seed_table string"
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """A table of a few rows (chosen types and their predicates) computed once.
-
-    Only for tables whose size is set by a parameter, such as a top-k.
-    """
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
-
-
 # Most rows of a table that is sent to every executor.
 BROADCAST_ROWS = 1_000_000
 
@@ -285,7 +277,7 @@ def draw_subtables(
         listed.setdefault(c["seed_table"], []).append((c["column"], c["is_numeric"]))
     attempts = col_resample if max_tables is None else max_tables + limit_break
     specs = subtables.draw_specs(rows.sparkSession, listed, attempts, seed, smallest)
-    return subtables.keep_specs(subtables.count_specs(rows, specs), minimum_rows, limit_break, max_tables)
+    return pinned(subtables.keep_specs(subtables.count_specs(rows, specs), minimum_rows, limit_break, max_tables))
 
 
 def build_subtables(
@@ -309,9 +301,7 @@ def build_subtables(
     rows = spark.read.schema(SEED_SCHEMA).parquet(f"{source}/{SEED_ROWS}")
     columns = spark.read.parquet(f"{source}/{SEED_COLUMNS}")
     manifest = spark.read.parquet(f"{source}/{MANIFEST}")
-    drawn = draw_subtables(rows, columns, manifest, col_resample, minimum_arity, minimum_rows, seed)
-    drawn.write.mode("overwrite").parquet(f"{dest}/_specs")
-    specs = spark.read.parquet(f"{dest}/_specs")
+    specs = draw_subtables(rows, columns, manifest, col_resample, minimum_arity, minimum_rows, seed)
     subtables.subtable_manifest(specs, row_resample, sample_fraction).write.mode("overwrite").parquet(
         f"{dest}/{SUBTABLES}"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs count on. AQE coalesces small shuffle partitions, splits skewed
 # join partitions and splits skewed partitions under a rebalance before a write.
@@ -51,3 +51,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has written to yet."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """A table of metadata (chosen types, column lists, specs) computed once and read back.
+
+    As a written table it survives a lost executor, and Catalyst knows its size: it is
+    broadcast while it is small and joined by a shuffle once it is not.
+    """
+    path = fresh_folder(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
