@@ -48,6 +48,8 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
+        # shuffles are megabytes here: small targets keep all cores busy in writes
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4m",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

@@ -109,7 +109,7 @@ class Triples:
 
     def capped_wide(self, name: str, width: int = widen.MAX_TABLE_WIDTH) -> DataFrame:
         owned = self.members_of(name)
-        pairs = selection.type_predicate_counts(self.facts, self.types, owned.select("type").distinct())
+        pairs = selection.type_predicate_counts(self.facts, self.types.filter(F.col("cat_object") == name))
         chosen = pinned(widen.chosen_predicates(pairs, width))
         rows = self.staged(widen.capped_rows(self.facts, owned, chosen))
         columns = widen.listed_columns(widen.table_columns(rows), name, "wordnet")
@@ -499,8 +499,7 @@ def join_14(kg):
 
 @query
 def agg_1(kg):
-    selected = kg.types.filter(F.col("cat_object").startswith("<wordnet_")).select(F.col("cat_object").alias("type"))
-    return selection.type_predicate_counts(kg.entity, kg.types, selected)
+    return selection.type_predicate_counts(kg.entity, kg.types.filter(F.col("cat_object").startswith("<wordnet_")))
 
 
 @query
@@ -696,7 +695,7 @@ def win_1(kg):
 
 @query
 def win_2(kg):
-    chosen = selection.frequent(selection.representative_types(kg.facts, kg.types, 5000), 10)
+    chosen = pinned(selection.frequent(selection.representative_types(kg.facts, kg.types, 5000), 10))
     return selection.facts_of_types(kg.facts, kg.types, chosen)
 
 

@@ -313,6 +313,17 @@ def product_rows(subjects: DataFrame) -> DataFrame:
     )
 
 
+def product_sizes(subjects: DataFrame) -> DataFrame:
+    """``(seed_table, n_rows, largest)``: rows each table will have, and the most from one subject.
+
+    A look ahead before rows multiply; a large figure calls for a smaller ``max_fields``.
+    """
+    size = F.aggregate(F.map_values("fields"), F.lit(1.0), lambda acc, a: acc * F.size(a))
+    return subjects.groupBy("seed_table").agg(
+        F.sum(size).cast("long").alias("n_rows"), F.max(size).cast("long").alias("largest")
+    )
+
+
 def full_rows(subjects: DataFrame, max_fields: int = 2) -> DataFrame:
     """Seed rows of the full kind: one row per subject, columns ``predicate_0 … predicate_{k-1}``."""
     entries = F.flatten(

@@ -18,6 +18,7 @@ from lakeloom.functions.values import to_number
 from lakeloom.operators import combine, selection, subtables, widen
 from lakeloom.session import fresh_folder, pinned
 from lakeloom.sources.sinks import check_format, in_parallel, write_binary_tables, write_partitioned, write_table
+from lakeloom.sources.tables import file_stats
 from lakeloom.sources.triples import wordnet_subjects
 
 SEED_ROWS = "_seed_rows"
@@ -220,11 +221,20 @@ def build_binary_lake(facts: DataFrame, types: DataFrame, dest: str, top_k: int
     selected, _ = selection.select_types_and_subjects(facts, types, "binary", top_k)
     rows = widen.binary_rows(selected)
     write_binary_tables(rows, dest)
-    from lakeloom.sources.tables import file_stats
-
     return file_stats(spark, dest).select("table", F.col("rows").alias("n_rows"))
 
 
+def build_all_binary(facts: DataFrame, dest: str) -> DataFrame:
+    """One table per predicate over all facts, with numbers where every value is one.
+
+    Returns the manifest ``(table, n_rows)``.
+    """
+    rows = widen.binary_rows(facts)
+    verdicts = widen.numeric_predicates(rows, ["table"], "value").collect()
+    write_binary_tables(rows, dest, {r["table"]: r["is_numeric"] for r in verdicts})
+    return file_stats(facts.sparkSession, dest).select("table", F.col("rows").alias("n_rows"))
+
+
 def build_long_seeds(
     facts: DataFrame,
     types: DataFrame,

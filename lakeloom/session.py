@@ -17,7 +17,6 @@ SETTINGS = {
     # predicates that differ only in case are different columns
     "spark.sql.caseSensitive": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

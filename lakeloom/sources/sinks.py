@@ -43,7 +43,10 @@ def write_partitioned(df: DataFrame, path: str, *keys: str) -> None:
     The rebalance keeps the rows of a key together, so small tables make one file; a
     key with a third of all rows is split over tasks, and many small ones share a task.
     """
-    df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite").partitionBy(*keys).parquet(path)
+    balanced = df.hint("rebalance", *[F.col(k) for k in keys])
+    # static: tables of an earlier run do not stay next to the new ones
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*keys).parquet(path)
 
 
 def write_binary_tables(rows: DataFrame, dest: str, numeric: dict[str, bool] | None = None, parallel: int = 8) -> list[str]:

@@ -7,14 +7,23 @@ become predicates. Every view is a bag union of narrow projections, so a filter
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TYPE_PREDICATE = "rdf:type"
 
 
+@cache
+def _schema(spark: SparkSession, folder: str, name: str) -> StructType:
+    return spark.read.parquet(f"{folder}/{name}.parquet").schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One star table; its footer is asked for the schema once, not by every view that reads it."""
+    return spark.read.schema(_schema(spark, folder, name)).parquet(f"{folder}/{name}.parquet")
 
 
 def entity(kind: str, c: str) -> Column:

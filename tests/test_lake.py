@@ -238,3 +238,21 @@ def test_base_lake_with_combinations(spark, kb):
     assert sub.count() > 0 and sum(r["n_rows"] for r in sub.collect()) == sum(
         r["count"] for r in rows.groupBy("subtable_id", "seed_table").count().collect()
     ) and counts
+
+
+def test_binary_tables_of_all_facts(spark, kb):
+    dest = fresh_folder(spark, "lake")
+    spark.range(0).write.parquet(f"{dest}/_made")
+    made = {r["table"]: r["n_rows"] for r in jobs.build_all_binary(kb[0], dest).collect()}
+    want = {f"binary-{r['predicate'][1:-1]}": r["count"] for r in kb[0].groupBy("predicate").count().collect()}
+    assert made == want
+    assert dict(spark.read.parquet(f"{dest}/binary-hasSize.parquet").dtypes)["hasSize"] == "double"
+    assert dict(spark.read.parquet(f"{dest}/binary-hasBrand.parquet").dtypes)["hasBrand"] == "string"
+
+
+def test_second_run_leaves_no_old_tables(spark):
+    path = fresh_folder(spark, "lake")
+    for names in ("ab", "c"):
+        df = spark.createDataFrame([(n, 1) for n in names], "k string, v int")
+        sinks.write_partitioned(df, path, "k")
+    assert [r["k"] for r in spark.read.parquet(path).collect()] == ["c"]

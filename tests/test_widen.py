@@ -71,6 +71,14 @@ def test_limited_values(spark, facts_of, members):
     assert rows_of(widen.product_rows(subjects), PREDICATES) == chain(once, doubled, PREDICATES, 2)
 
 
+def test_sizes_are_known_before_rows_multiply(spark, facts_of, members):
+    subjects = widen.long_subjects(facts_of(FACTS), members, 2)
+    rows = {r["seed_table"]: r["count"] for r in widen.product_rows(subjects).groupBy("seed_table").count().collect()}
+    sizes = widen.product_sizes(subjects).collect()
+    assert {r["seed_table"]: r["n_rows"] for r in sizes} == rows
+    assert {r["seed_table"]: r["largest"] for r in sizes} == {"T": 4, "U": 4}
+
+
 def test_full_rows(spark, facts_of, members):
     subjects = widen.long_subjects(facts_of(FACTS), members, 2)
     got = {r["subject"]: r["attrs"] for r in widen.full_rows(subjects, 2).filter("seed_table = 'T'").collect()}
