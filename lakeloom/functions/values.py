@@ -73,19 +73,24 @@ def order_hash(seed: int, *parts: Column) -> Column:
     return F.xxhash64(F.lit(seed), *parts)
 
 
-def explode_range(df: DataFrame, count: Column, out: str) -> DataFrame:
+def explode_range(df: DataFrame, count: Column, out: str, spread_by: Sequence[str] = ()) -> DataFrame:
     """Each row ``count`` times, numbered 0 … count-1 in ``out``.
 
     Two generator steps, so that a row with a huge count never needs an array
-    longer than ``count / RANGE_STEP``.
+    longer than ``count / RANGE_STEP``. With ``spread_by`` (key columns) the blocks of a
+    row go to different tasks before they are numbered.
     """
     n, block = f"__{out}_n", f"__{out}_block"
     first = F.col(block) * RANGE_STEP
-    return (
+    blocks = (
         df.withColumn(n, count.cast("long"))
         .filter(F.col(n) > 0)
         .withColumn(block, F.explode(F.expr(f"sequence(0L, (`{n}` - 1) div {RANGE_STEP})")))
-        .withColumn(out, F.explode(F.sequence(first, F.least(F.col(n), first + RANGE_STEP) - 1)))
+    )
+    if spread_by:
+        blocks = blocks.repartition(*spread_by, block)
+    return (
+        blocks.withColumn(out, F.explode(F.sequence(first, F.least(F.col(n), first + RANGE_STEP) - 1)))
         .drop(n, block)
     )
 

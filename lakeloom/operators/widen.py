@@ -210,6 +210,16 @@ def capped_rows(
     Members without facts stay, as one row without values; members listed twice give
     their rows twice.
     """
+    return product_rows(capped_subjects(facts, members, predicates, piece))
+
+
+def capped_subjects(
+    facts: DataFrame, members: DataFrame, predicates: DataFrame, piece: int = PIECE
+) -> DataFrame:
+    """``(seed_table, subject, copies, fields, part)``: what :func:`capped_rows` multiplies.
+
+    A subject with a large pair has one line per piece, numbered in ``part``.
+    """
     used = predicates.select(F.explode("predicates").alias("predicate")).distinct()
     fields, parts = all_fields(facts.join(used, "predicate").select("subject", "predicate", "cat_object"), piece)
     rows = (
@@ -231,7 +241,7 @@ def capped_rows(
     )
     for name, values in parts.items():
         rows = _attach_pieces(rows, name, values)
-    return product_rows(rows.drop("pieces"))
+    return rows.drop("pieces")
 
 
 def _attach_pieces(rows: DataFrame, predicate: str, values: DataFrame) -> DataFrame:
@@ -264,12 +274,13 @@ def _filled(attrs: Column) -> Column:
     return F.map_filter(attrs, lambda _, v: v.isNotNull())
 
 
-def product_rows(subjects: DataFrame) -> DataFrame:
+def product_rows(subjects: DataFrame, spread: bool = False) -> DataFrame:
     """Seed rows ``(seed_table, subject, row_key, attrs)``: the row product of the value arrays.
 
     Row i of a subject takes value ``(i div stride) mod size`` of each predicate, so the
     product is a numbered range and is never held as a whole. Subjects with ``copies``
-    repeat each row that often, and once for every copy of its values.
+    repeat each row that often, and once for every copy of its values. ``spread`` sends
+    the blocks of a long range to different tasks, for subjects with very many rows.
     """
     names = set(subjects.columns)
     copies = F.col("copies") if "copies" in names else F.lit(1).cast("long")
@@ -288,7 +299,8 @@ def product_rows(subjects: DataFrame) -> DataFrame:
         arrays.alias("arrays"),
         strides.alias("strides"),
     )
-    numbered = explode_range(numbered, F.element_at("strides", -1), "i")
+    keys = ("seed_table", "subject", "part") if spread else ()
+    numbered = explode_range(numbered, F.element_at("strides", -1), "i", keys)
     picked = F.transform(
         "arrays",
         lambda a, j: F.get(
@@ -318,7 +330,9 @@ def product_sizes(subjects: DataFrame) -> DataFrame:
 
     A look ahead before rows multiply; a large figure calls for a smaller ``max_fields``.
     """
-    size = F.aggregate(F.map_values("fields"), F.lit(1.0), lambda acc, a: acc * F.size(a))
+    copies = F.col("copies") if "copies" in subjects.columns else F.lit(1)
+    values = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x["n"])
+    size = F.aggregate(F.map_values("fields"), copies.cast("double"), lambda acc, a: acc * values(a))
     return subjects.groupBy("seed_table").agg(
         F.sum(size).cast("long").alias("n_rows"), F.max(size).cast("long").alias("largest")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import clean_name, lake_table_name, strip_brackets
-from lakeloom.functions.values import to_number
+from lakeloom.functions.values import RANGE_STEP, to_number
 from lakeloom.operators import combine, selection, subtables, widen
 from lakeloom.session import fresh_folder, pinned
 from lakeloom.sources.sinks import check_format, in_parallel, write_binary_tables, write_partitioned, write_table
@@ -52,7 +52,7 @@ def near_members(facts: DataFrame, types: DataFrame, selected: DataFrame) -> Dat
 # -- seed rows -----------------------------------------------------------------
 
 
-def base_seed_rows(
+def base_seed_subjects(
     facts: DataFrame,
     types: DataFrame,
     top_k: int = 20,
@@ -61,7 +61,7 @@ def base_seed_rows(
     picked: Sequence[str] | None = None,
     piece: int = widen.PIECE,
 ) -> DataFrame:
-    """Seed rows of the width-capped kind for the selected types.
+    """Seed subjects of the width-capped kind for the selected types.
 
     ``group_limit`` caps the number of seed tables below ``top_k``, as the defaults of
     the job do (20 and 50).
@@ -75,7 +75,7 @@ def base_seed_rows(
         widen.chosen_predicates(selection.type_predicate_counts(facts, types, selected), max_table_width)
     )
     owned = selection.members(types, selection.first_types(selected, group_limit))
-    return widen.capped_rows(facts, owned, chosen, piece)
+    return widen.capped_subjects(facts, owned, chosen, piece)
 
 
 def long_seed_subjects(facts: DataFrame, types: DataFrame, max_fields: int = 2) -> DataFrame:
@@ -83,12 +83,24 @@ def long_seed_subjects(facts: DataFrame, types: DataFrame, max_fields: int = 2)
     return widen.long_subjects(facts, wordnet_subjects(types), max_fields)
 
 
-def write_seeds(rows: DataFrame, columns: DataFrame | None, dest: str, kind: str) -> tuple[DataFrame, DataFrame]:
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Written once below the shared folder, for what several passes go over."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def multiplied(subjects: DataFrame) -> DataFrame:
+    """Rows of staged seed subjects; a subject with more rows than one block is spread over tasks."""
+    largest = widen.product_sizes(subjects).agg(F.max("largest")).first()[0]
+    return widen.product_rows(subjects, spread=(largest or 0) > RANGE_STEP)
+
+
+def write_seeds(rows: DataFrame, columns: DataFrame, dest: str, kind: str) -> tuple[DataFrame, DataFrame]:
     """Write seed rows, their columns and the manifest; returns rows and columns read back."""
     spark = rows.sparkSession
     write_partitioned(rows, f"{dest}/{SEED_ROWS}", "seed_table")
     rows = spark.read.schema(SEED_SCHEMA).parquet(f"{dest}/{SEED_ROWS}")
-    columns = widen.table_columns(rows) if columns is None else columns
     columns.write.mode("overwrite").parquet(f"{dest}/{SEED_COLUMNS}")
     columns = spark.read.parquet(f"{dest}/{SEED_COLUMNS}")
     seed_manifest(rows, columns, kind).write.mode("overwrite").parquet(f"{dest}/{MANIFEST}")
@@ -177,9 +189,8 @@ def build_base_lake(
     if strategy != "wordnet":
         raise ValueError(f"unknown strategy {strategy}")
     check_format(output_format)
-    rows, columns = write_seeds(
-        base_seed_rows(facts, types, top_k, group_limit, max_table_width, picked), None, dest, "wordnet"
-    )
+    subjects = staged(base_seed_subjects(facts, types, top_k, group_limit, max_table_width, picked), "subjects")
+    write_seeds(multiplied(subjects), widen.subject_columns(subjects), dest, "wordnet")
     if export:
         export_seeds(spark, dest, strategy, "wordnet", output_format)
     if explode_tables:
@@ -245,13 +256,11 @@ def build_long_seeds(
 ) -> DataFrame:
     """Seed tables of all types with the prefix; ``kind`` is ``long`` or ``full``. Returns the manifest."""
     spark = facts.sparkSession
-    stage = fresh_folder(spark, "subjects")
-    long_seed_subjects(facts, types, max_fields).write.parquet(stage)
-    subjects = spark.read.parquet(stage)
+    subjects = staged(long_seed_subjects(facts, types, max_fields), "subjects")
     if kind == "full":
         rows, columns = widen.full_rows(subjects, max_fields), widen.subject_columns(subjects, max_fields)
     elif kind == "long":
-        rows, columns = widen.product_rows(subjects), widen.subject_columns(subjects)
+        rows, columns = multiplied(subjects), widen.subject_columns(subjects)
     else:
         raise ValueError(f"unknown kind {kind}")
     write_seeds(rows, columns, dest, kind)

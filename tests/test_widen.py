@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.functions import values
 from lakeloom.operators import widen
 
 
@@ -79,6 +80,16 @@ def test_sizes_are_known_before_rows_multiply(spark, facts_of, members):
     assert {r["seed_table"]: r["largest"] for r in sizes} == {"T": 4, "U": 4}
 
 
+def test_spread_rows_are_the_same(spark, facts_of, members, monkeypatch):
+    monkeypatch.setattr(values, "RANGE_STEP", 50)
+    chosen = spark.createDataFrame([("T", PREDICATES), ("U", PREDICATES)], "type string, predicates array<string>")
+    subjects = widen.capped_subjects(facts_of(FACTS), members, chosen)
+    want = chain(MEMBERS, FACTS, PREDICATES)
+    assert rows_of(widen.product_rows(subjects, spread=True), PREDICATES) == want
+    sizes = widen.product_sizes(subjects).collect()
+    assert sum(r["n_rows"] for r in sizes) == sum(want.values()) and {r["largest"] for r in sizes} == {1200}
+
+
 def test_full_rows(spark, facts_of, members):
     subjects = widen.long_subjects(facts_of(FACTS), members, 2)
     got = {r["subject"]: r["attrs"] for r in widen.full_rows(subjects, 2).filter("seed_table = 'T'").collect()}
