@@ -84,11 +84,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.slice("item", F.col("item_at") - left + 1, left + SPAN + right).alias("b"),
     )
     equal = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda e: e))
-    checked = hits.select("doc_id", "text_hash", "item_id", "doc_at", "length", equal.alias("equal")).filter(
-        (F.col("equal") >= MIN_EQUAL) & (100 * F.col("equal") >= MIN_PERCENT * F.col("length"))
+    checked = hits.select("doc_id", "text_hash", "item_id", "doc_at", "length", equal.alias("equal"))
+    # asked after the grouping: as a filter it would become part of the join, which then copies
+    # all words of a document for each of its seeds
+    passed = (F.col("equal") >= MIN_EQUAL) & (100 * F.col("equal") >= MIN_PERCENT * F.col("length"))
+    place = F.struct("equal", (-F.col("length")).alias("short"), (-F.col("doc_at")).alias("early"))
+    grouped = checked.groupBy("doc_id", "text_hash", "item_id").agg(
+        F.max(F.when(passed, place)).alias("best"), F.count_if(passed).alias("hits")
     )
-    best = F.max(F.struct("equal", (-F.col("length")).alias("short"), (-F.col("doc_at")).alias("early")))
-    return checked.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("best"), F.count("*").alias("hits")).select(
+    return grouped.filter("hits > 0").select(
         "doc_id", "text_hash", "item_id", F.col("best.equal").alias("equal"), (-F.col("best.short")).alias("length"),
         (-F.col("best.early")).alias("doc_at"), "hits",
     )

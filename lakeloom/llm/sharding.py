@@ -111,7 +111,7 @@ def shard(
     offsets = pinned(counts.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")))
     rows = placed.count()
     if not rows:
-        return spark.createDataFrame([], with_columns(docs.schema, ("shard", "int"), ("slot", "long")))
+        return spark.createDataFrame([], with_columns(docs.schema, ("shard", "integer"), ("slot", "long")))
     at = placed.join(offsets, "__bucket").withColumn("__at", F.col("__offset") + F.col("__place"))
     at = at.withColumn("shard", F.expr(f"cast(__at * {n_shards} div {rows} as int)"))
     first = F.expr(f"(cast(shard as long) * {rows} + {n_shards - 1}) div {n_shards}")
