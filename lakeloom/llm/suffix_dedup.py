@@ -138,7 +138,7 @@ def quicksort(data: np.ndarray, suffixes: np.ndarray, bucket: np.ndarray, depth_
 
     Every round takes the middle suffix of each open group as pivot and parts the group in
     less, equal and greater; equal ones go on eight bytes deeper. Gives the groups that are
-    equal to ``depth_limit``; those that came apart have no repeat.
+    equal to ``depth_limit``, as lists; those that came apart have no repeat.
     """
     words = np.zeros(len(data), np.uint64)
     for k in range(8):
@@ -156,7 +156,9 @@ def quicksort(data: np.ndarray, suffixes: np.ndarray, bucket: np.ndarray, depth_
         keep = size[at] > 1  # one alone is in its place
         done = keep & (depth >= depth_limit)
         if done.any():
-            deep += np.split(suffixes[done], np.flatnonzero(np.diff(at[done])) + 1)
+            cuts = (np.flatnonzero(np.diff(at[done])) + 1).tolist()
+            members = suffixes[done].tolist()
+            deep += [members[a:b] for a, b in zip([0, *cuts], [*cuts, len(members)], strict=True)]
         keep &= ~done
         suffixes, depth, at = suffixes[keep], depth[keep], at[keep]
         if not len(suffixes):
@@ -232,15 +234,24 @@ def repeated_windows(contexts: list[bytes], copies: list[int], anchor: np.ndarra
     # equal windows have equal anchors at equal offsets: the buckets to start from
     key = _mixed(anchor[of].view(np.uint64) + (inside[of] - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     flag = np.zeros(len(data), bool)
-    owner = np.zeros(len(data), np.int64)
+    owner = np.full(len(data), -1, np.int64)
     owner[base[of] + start] = of
+    found: list[int] = []
+    single = (np.array(copies) == 1)[owner]
     for group in quicksort(data, base[of] + start, key, SHALLOW):
+        if len(group) == 2:  # a trie of two strings is one comparison
+            a, b = group
+            if raw[a : a + LENGTH] == raw[b : b + LENGTH]:
+                found += group
+            continue
         trie = BlindTrie()
-        for s in group.tolist():
+        for s in group:
             trie.add(raw[s : s + LENGTH], s)
         for members in trie.leaves():
-            if len(members) > 1 or copies[owner[members[0]]] > 1:
-                flag[members] = True
+            if len(members) > 1:
+                found += members
+    flag[found] = True
+    flag |= ~single & (owner >= 0)  # a context with copies repeats as a whole
     return [flag[b : b + m] for b, m in zip(base.tolist(), many.tolist(), strict=True)]
 
 
@@ -275,7 +286,7 @@ def _sorted_task(batches):
 
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if size > (8 << 20) and row[0] != last:
+            if size > (2 << 20) and row[0] != last:
                 yield from solve()
                 held, size = [], 0
             held.append(row)
@@ -357,7 +368,7 @@ def _thinned(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """text_key, first, many: ``many`` windows that repeat, from byte ``first`` of the texts with that key."""
     texts = docs.select(F.xxhash64(text_of(docs)).alias("text_key"), F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    rows = texts.select("text_key", "text").mapInArrow(_anchor_rows, _ANCHORS)
+    rows = pinned(texts.select("text_key", "text").mapInArrow(_anchor_rows, _ANCHORS))
     often = rows.groupBy("anchor").agg(
         F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")
     ).filter("n > 1").select("anchor", "mixed")
@@ -371,7 +382,10 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         found.filter("mixed").join(alike.filter("copies > 1").select("anchor", "context"), ["anchor", "context"])
         .select("text_key", "first", "many")
     )
-    wanted = alike.groupBy(F.col("one.text_key").alias("text_key")).agg(
+    # where every context of an anchor has copies, all is settled
+    open_ = alike.groupBy("anchor").agg(F.min("copies").alias("fewest"), F.count("*").alias("n")).filter("fewest = 1")
+    open_ = pinned(open_.select("anchor", "n"))
+    wanted = alike.join(open_, "anchor").groupBy(F.col("one.text_key").alias("text_key")).agg(
         F.collect_list(F.struct("anchor", "context", "copies", "one.first", "one.many", "one.inside")).alias("wanted")
     )
     # one document for each text
@@ -381,7 +395,7 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     contexts = pinned(
         texts.alias("t").join(wanted, same).select("t.text_key", "t.text", "w.wanted").mapInArrow(_cut_contexts, _CONTEXTS)
     )
-    crowded = pinned(alike.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > crowd).select("anchor"))
+    crowded = open_.filter(F.col("n") > crowd).select("anchor")
     few = contexts.join(crowded, "anchor", "left_anti")
     rest, settled = _thinned(contexts.join(crowded, "anchor", "left_semi"))
     to_sort = few.unionByName(rest)
