@@ -14,6 +14,9 @@ import duckdb
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
+# random draws and samples, engine hashes, file sizes and first rows of files: tested on their own
+WITHOUT_SQL = {"src_3", "src_11", "src_12", "hsh_1", "sub_2", "sub_3", "sub_5", "sub_6", "sub_7", "job_4"}
+
 
 def database(folder: str):
     con = duckdb.connect()
@@ -39,6 +42,8 @@ def difference(spark, con, folder: str, name: str) -> str | None:
     df = QUERIES[name](spark, folder)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name not in ORACLE:
+        if name not in WITHOUT_SQL:
+            return "no SQL, and not named as a query without"
         return None if sum(got[1].values()) else "no rows"
     cur = con.execute(ORACLE[name])
     want = rows_of([d[0] for d in cur.description], cur.fetchall())

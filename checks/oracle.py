@@ -60,7 +60,10 @@ sparse AS (SELECT * FROM facts WHERE cat_object IS NULL OR cat_object <> '<4-NOT
 wn AS (SELECT subject, cat_object AS type FROM kg_types WHERE starts_with(cat_object, '<wordnet_'))
 """
 
-NUMBER = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
+# text that CSV has to quote
+AWKWARD = """' say "' || {0} || '",' || chr(10) || 'then ' || {0} || ' '"""
+
+NUMBER = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z'"
 
 ORDER, PART = "<wordnet_order_100000003>", "<wordnet_part_100000005>"
 CUSTOMER = "<wordnet_customer_100000001>"
@@ -315,9 +318,9 @@ ORACLE: dict[str, str] = {
         c_mktsegment AS num_object FROM customer ORDER BY c_custkey LIMIT 100""",
     "src_4": kg("SELECT '<id_' || predicate || '>' AS id, subject, predicate, cat_object FROM facts"),
     "src_5": kg(FACTS + "facts"),
-    "src_6": "SELECT * FROM customer",
-    "src_7": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
-        CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
+    "src_6": f"SELECT * REPLACE ({AWKWARD.format('c_name')} AS c_name) FROM customer",
+    "src_7": f"""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, {AWKWARD.format('p_name')} AS p_name, p_brand, p_type,
+        CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
     "src_8": kg("SELECT subject, cat_object AS hasBrand FROM facts WHERE predicate = '<hasBrand>'"),
     "src_9": kg("""SELECT DISTINCT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS \"table\" FROM facts
         WHERE predicate IN ('<hasStatus>', '<hasBrand>', '<livesIn>')"""),
@@ -406,15 +409,16 @@ ORACLE: dict[str, str] = {
         FROM gaps""", ORDERS_WITH_GAPS),
     "agg_18": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS null_count,
-        {f'round(avg({c}), 6)' if num else 'CAST(NULL AS DOUBLE)'} AS mean, {f'round(stddev_samp({c}), 6)' if num else 'NULL'} AS std,
+        {f'round(avg({c}), 4)' if num else 'CAST(NULL AS DOUBLE)'} AS mean, {f'round(stddev_samp({c}), 4)' if num else 'NULL'} AS std,
         CAST(min({c}) AS VARCHAR) AS min, """
         + ", ".join(
             (f"CAST(quantile_disc({c}, {q}) AS DOUBLE)" if num else "NULL") + f" AS {n}"
             for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
         )
-        + f", CAST(max({c}) AS VARCHAR) AS max FROM part"
-        for c, num in (("p_partkey", True), ("p_name", False), ("p_brand", False), ("p_type", False), ("p_size", True),
-                       ("p_retailprice", True))
+        + f", CAST(max({c}) AS VARCHAR) AS max FROM lineitem"
+        for c, num in (("l_orderkey", True), ("l_partkey", True), ("l_suppkey", True), ("l_linenumber", True),
+                       ("l_quantity", True), ("l_extendedprice", True), ("l_discount", True), ("l_tax", True),
+                       ("l_returnflag", False), ("l_linestatus", False))
     ),
     "agg_19": kg("SELECT DISTINCT type AS cat_object FROM wn"),
     "agg_20": kg("SELECT count(DISTINCT type) AS n_groups FROM wn"),

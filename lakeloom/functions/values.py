@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Fixed value: what counts as a number in a text column. try_cast alone would
 # also take '1d' and ' 1 '; 'inf' and 'nan' stay text.
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
 
 # Longest array that one generator step may build.
 RANGE_STEP = 65536

@@ -8,6 +8,8 @@ signature, no longer than the number of distinct items.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,13 +54,12 @@ def pair_difference(left: DataFrame, right: DataFrame, item: str = "predicate")
     )
 
 
-def dense_matrix(pairs: DataFrame, item: str = "predicate", max_labels: int = 1000) -> DataFrame:
+def dense_matrix(pairs: DataFrame, item: str = "predicate", labels: Sequence[str] | None = None) -> DataFrame:
     """Pair counts as a square table, zero where a pair is missing.
 
-    The columns are the distinct labels; a domain too large for a table is refused,
-    the sparse pairs are the form for that.
+    The columns are the labels given, else all distinct ones, any number of them. Where a
+    table so wide is no use, give the labels block by block; the sparse pairs have it all.
     """
-    labels = [r[0] for r in pairs.select(f"{item}_right").distinct().limit(max_labels + 1).collect()]
-    if len(labels) > max_labels:
-        raise ValueError(f"more than {max_labels} labels, keep the pairs sparse")
+    if labels is None:
+        labels = [r[0] for r in pairs.select(f"{item}_right").distinct().collect()]
     return pairs.groupBy(item).pivot(f"{item}_right", sorted(labels)).agg(F.sum("count")).na.fill(0)

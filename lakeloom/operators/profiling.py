@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import first_piece
+from lakeloom.operators.ranges import running_sum
 from lakeloom.operators.matching import keep_members
 from lakeloom.operators.selection import type_counts
 
@@ -132,11 +133,28 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
 
 
-def describe(df: DataFrame, accuracy: int = 100_000) -> DataFrame:
-    """One row per column: count, null count, mean, deviation, least, greatest, quartiles.
+def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, q25, q50, q75)``: the smallest value that so many of the values do not exceed.
 
-    One pass. Quartiles are values of the column at a rank within rows/accuracy of
-    the true one; text columns have no mean, deviation or quartiles.
+    Exact at any size: values are counted, and the rank is found in running counts.
+    """
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
+    )
+    counts = df.select(cells.alias("cell")).select("cell.*").filter("value is not null").groupBy("column", "value")
+    upto = running_sum(counts.agg(F.count("*").alias("n")), "n", "upto", ["value"], ["column"])
+    totals = upto.groupBy("column").agg(F.max("upto").alias("total"))
+    parts = [
+        F.min(F.when(F.col("upto") * 4 >= F.col("total") * k, F.col("value"))).alias(name)
+        for k, name in ((1, "q25"), (2, "q50"), (3, "q75"))
+    ]
+    return upto.join(totals, "column").groupBy("column").agg(*parts)
+
+
+def describe(df: DataFrame) -> DataFrame:
+    """One row per column: count, null count, mean, deviation, least, greatest, exact quartiles.
+
+    Text columns have no mean, deviation or quartiles.
     """
     from lakeloom.operators.matching import numeric_columns
 
@@ -146,7 +164,6 @@ def describe(df: DataFrame, accuracy: int = 100_000) -> DataFrame:
         x = F.col(f"`{c}`")
         none = F.lit(None).cast("double")
         number = x.cast("double")
-        quartiles = F.percentile_approx(number, [0.25, 0.5, 0.75], accuracy) if c in numeric else None
         cells.append(
             F.struct(
                 F.lit(c).alias("column"),
@@ -155,14 +172,13 @@ def describe(df: DataFrame, accuracy: int = 100_000) -> DataFrame:
                 (F.avg(number) if c in numeric else none).alias("mean"),
                 (F.stddev(number) if c in numeric else none).alias("std"),
                 F.min(x).cast("string").alias("min"),
-                *[
-                    (none if quartiles is None else quartiles[i]).alias(name)
-                    for i, name in enumerate(("q25", "q50", "q75"))
-                ],
                 F.max(x).cast("string").alias("max"),
             )
         )
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    described = df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    if not numeric:
+        return described.select("*", *[F.lit(None).cast("double").alias(q) for q in ("q25", "q50", "q75")])
+    return described.join(quartiles(df, [c for c in df.columns if c in numeric]), "column", "left")
 
 
 def types_with_prefix(types: DataFrame, prefix: str) -> DataFrame:
@@ -196,8 +212,7 @@ def largest_per_key(df: DataFrame, key: str, target: str) -> DataFrame:
 def category_codes(values: DataFrame, column: str) -> DataFrame:
     """``(label, code)``: distinct values numbered from 0 in sorted order.
 
-    The one window runs over the distinct labels of a matrix axis only, never over
-    the rows of the table.
+    Labels are dealt into ranges and numbered there; no task holds all of them.
     """
-    labels = values.select(F.col(column).alias("label")).distinct()
-    return labels.select("label", (F.dense_rank().over(Window.orderBy("label")) - 1).alias("code"))
+    labels = values.select(F.col(column).alias("label")).distinct().withColumn("one", F.lit(1).cast("long"))
+    return running_sum(labels, "one", "upto", ["label"]).select("label", (F.col("upto") - 1).cast("int").alias("code"))

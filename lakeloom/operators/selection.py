@@ -40,8 +40,10 @@ def add_picked_types(
     return both.dropDuplicates(["type"]) if dedupe else both
 
 
-def first_types(selected: DataFrame, n: int) -> DataFrame:
-    """The first n of the selected types, by count."""
+def first_types(selected: DataFrame, n: int | None) -> DataFrame:
+    """The first n of the selected types, by count; all of them without n."""
+    if n is None:
+        return selected
     if n < 1:
         raise ValueError(f"the number of types must be at least 1, got {n}")
     return largest(selected, n)
@@ -83,7 +85,6 @@ def type_predicate_counts(facts: DataFrame, types: DataFrame, selected: DataFram
         .dropna()
         .groupBy("type", "predicate")
         .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), "type", "predicate")
     )
 
 

@@ -30,23 +30,14 @@ SUBTABLES = "_subtables"
 SEED_SCHEMA = "subject string, row_key bigint, attrs map<string,string>, seed_table string"
 
 
-# Most rows of a table that is sent to every executor.
-BROADCAST_ROWS = 1_000_000
-
-
 def near_members(facts: DataFrame, types: DataFrame, selected: DataFrame) -> DataFrame:
-    """Facts of the subjects of the selected types, if those subjects are few; else all facts.
+    """Facts of the subjects of the selected types.
 
-    The type counts say how many members there are. Up to ``BROADCAST_ROWS`` they are
-    sent to the scan of the facts, which then drops the rest before any shuffle. Beyond
-    that the facts are grouped as they are and meet their types as one row per subject,
-    which costs less than an extra shuffle of all facts for the filter.
+    The subjects are a written table, so Catalyst knows its size: it is sent to the scan
+    of the facts while it is small, and meets them in a shuffle once it is not.
     """
-    total = sum(r["count"] for r in selected.collect())
-    if total > BROADCAST_ROWS:
-        return facts
-    owned = selection.members(types, selected).select("subject").distinct()
-    return facts.join(F.broadcast(owned), "subject", "left_semi")
+    owned = pinned(selection.members(types, selected).select("subject").distinct())
+    return facts.join(owned, "subject", "left_semi")
 
 
 # -- seed rows -----------------------------------------------------------------
@@ -56,15 +47,14 @@ def base_seed_subjects(
     facts: DataFrame,
     types: DataFrame,
     top_k: int = 20,
-    group_limit: int = 50,
+    group_limit: int | None = None,
     max_table_width: int = widen.MAX_TABLE_WIDTH,
     picked: Sequence[str] | None = None,
     piece: int = widen.PIECE,
 ) -> DataFrame:
     """Seed subjects of the width-capped kind for the selected types.
 
-    ``group_limit`` caps the number of seed tables below ``top_k``, as the defaults of
-    the job do (20 and 50).
+    All selected types get a table; ``group_limit`` keeps the first so many where it is given.
     """
     selected = selection.top_types(types, top_k)
     if picked is not None:
@@ -169,7 +159,7 @@ def build_base_lake(
     dest: str,
     strategy: str = "wordnet",
     top_k: int = 20,
-    group_limit: int = 50,
+    group_limit: int | None = None,
     max_table_width: int = widen.MAX_TABLE_WIDTH,
     picked: Sequence[str] | None = None,
     output_format: str = "parquet",

@@ -24,7 +24,10 @@ def write_table(df: DataFrame, dest: str, tag: str, name: str, output_format: st
     path = f"{dest}/{tag}-{name}.{output_format}" if tag else f"{dest}/{name}.{output_format}"
     writer = df.write.mode("overwrite")
     if output_format == "csv":
-        writer.option("header", True).csv(path)
+        # quotes are doubled, blanks at the ends stay
+        writer.options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
     else:
         writer.parquet(path)
     return path

@@ -72,3 +72,40 @@ def test_explode_range_crosses_blocks(spark, monkeypatch):
     df = spark.createDataFrame([("a", 7), ("b", 0), ("c", 3)], "k string, n int")
     got = sorted((r["k"], r["i"]) for r in values.explode_range(df, F.col("n"), "i").collect())
     assert got == [("a", i) for i in range(7)] + [("c", i) for i in range(3)]
+
+
+def test_numbers_end_where_the_text_ends(spark):
+    from lakeloom.functions.values import is_number
+
+    df = spark.createDataFrame([("1",), ("1\n",), ("1e3",), (" 1",)], "v string")
+    assert [r[0] for r in df.select(is_number("v")).collect()] == [True, False, True, False]
+
+
+def test_csv_keeps_quotes_blanks_and_line_breaks(spark, tmp_path):
+    from lakeloom.sources import sinks, tables
+
+    rows = [('Smith "Bob", Inc', " a "), ("two\nlines", '"'), ("plain", "back\\slash")]
+    df = spark.createDataFrame(rows, "name string, note string")
+    path = sinks.write_table(df, str(tmp_path), "", "t", "csv")
+    assert {tuple(r) for r in tables.read_csv(spark, path, df.schema).collect()} == set(rows)
+    text = "".join(p.read_text() for p in (tmp_path / "t.csv").glob("*.csv"))
+    assert '"Smith ""Bob"", Inc"' in text
+
+
+def test_quartiles_are_exact_at_any_size(spark):
+    from pyspark.sql import functions as F
+
+    from lakeloom.operators.profiling import describe
+
+    df = spark.range(300_001).select(((F.col("id") * 7919) % 300_001).alias("n"), F.lit("x").alias("t"))
+    row = describe(df).filter("column = 'n'").first()
+    assert (row["q25"], row["q50"], row["q75"]) == (75000.0, 150000.0, 225000.0)
+
+
+def test_codes_number_all_labels_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from lakeloom.operators.profiling import category_codes
+
+    df = spark.range(5000).select(F.format_string("l%05d", F.col("id")).alias("c"))
+    assert all(int(r["label"][1:]) == r["code"] for r in category_codes(df, "c").collect())

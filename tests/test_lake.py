@@ -256,3 +256,20 @@ def test_second_run_leaves_no_old_tables(spark):
         df = spark.createDataFrame([(n, 1) for n in names], "k string, v int")
         sinks.write_partitioned(df, path, "k")
     assert [r["k"] for r in spark.read.parquet(path).collect()] == ["c"]
+
+
+def test_samples_do_not_shuffle_the_rows(spark):
+    """The cuts are small written tables that go to the rows, not the other way round."""
+    from pyspark.sql import functions as F
+
+    from lakeloom.operators import subtables
+
+    cut = spark.range(2000).select(
+        F.lit("t").alias("seed_table"), F.lit("all").alias("case"), F.lit("s").alias("subtable_id"),
+        F.col("id").alias("row_key"), F.lit(2000).cast("long").alias("n_rows"), F.array(F.lit("x")).alias("cells"),
+    )
+    out = subtables.resampled_rows(cut, 2, 0.7)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    counts = out.groupBy("replica").agg(F.count("*").alias("n"), F.countDistinct("row_key").alias("d")).collect()
+    assert [(r["n"], r["d"]) for r in counts] == [(1400, 1400)] * 2

@@ -65,8 +65,6 @@ def test_errors(spark, facts_of, types_of):
         profiling.value_counts(facts)
     with pytest.raises(KeyError):
         profiling.value_counts(facts, "missing")
-    with pytest.raises(ValueError):
-        cooccurrence.dense_matrix(cooccurrence.cooccurring_pairs(facts, "predicate"), max_labels=0)
 
 
 def test_pairs_equal_the_self_join(spark, facts_of):
