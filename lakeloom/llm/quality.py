@@ -31,7 +31,7 @@ WINDOW = 5
 MIN_CHARS_JUDGED = 400  # letters and marks below which character classes are not judged
 MIN_WORDS_JUDGED = 100  # words below which common words are not judged
 MAX_CHAR_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.3
+MAX_WORD_DISTANCE = 0.36
 MICRO = 1_000_000  # shares are summed as whole millionths, so that any order gives the same sum
 # character classes, taken away from the text one after the other; what is left is its own class
 CLASSES = [

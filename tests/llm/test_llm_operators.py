@@ -380,7 +380,7 @@ def test_licenses(spark, odd, none):
         (2, "Permision is hereby grnted, free of charge, to any persn obtaining a copy", 13, 0, None, None, "", "mit"),
         (3, "the smit license and apache-licenses", 6, 0, None, None, "", ""),
         (4, "CC-BY cc  by gnu general public license", 8, 3, 0, 4, "cc-by,gpl", "cc-by,gpl"),
-        (5, "Relaesed under the MIT Licence.", 5, 0, None, None, "", "mit"),
+        (5, "Relesed under the MIT Licence.", 5, 0, None, None, "", "mit"),
         (6, "nothing to see", 3, 0, None, None, "", ""),
     ]
     docs = spark.createDataFrame([(r[0], r[1], "en", "s", 0) for r in rows], DOCUMENTS)
