@@ -56,7 +56,7 @@ facts AS (
   UNION ALL SELECT subject, predicate, cat_object FROM literals
   UNION ALL SELECT subject, predicate, cat_object FROM dates
 ),
-sparse AS (SELECT * FROM facts WHERE cat_object IS NULL OR cat_object <> '<4-NOT_SPECIFIED>'),
+sparse AS (SELECT subject, predicate, nullif(cat_object, '<4-NOT_SPECIFIED>') AS cat_object FROM facts),
 wn AS (SELECT subject, cat_object AS type FROM kg_types WHERE starts_with(cat_object, '<wordnet_'))
 """
 
@@ -329,7 +329,7 @@ ORACLE: dict[str, str] = {
     "snk_1": kg(f"SELECT subject AS wordnet_part_100000005, * EXCLUDE (subject) FROM ({long_chain(PART, typed=True)})", RANKED),
     "snk_2": kg(f"SELECT subject AS wordnet_part_100000005, * EXCLUDE (subject) FROM ({long_chain(PART, typed=True)})", RANKED),
     "snk_4": kg(SUBTABLES, RANKED),
-    "snk_5": kg("SELECT subject, cat_object AS value FROM kg_facts WHERE predicate IN ('<hasStatus>', '<hasBrand>')"),
+    "snk_5": kg("SELECT subject, cat_object AS value FROM kg_facts"),
     "norm_1": kg(FACTS + "dates"),
     "norm_2": kg(FACTS + "literals"),
     "norm_3": kg(FACTS + "kg_facts"),
