@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -134,6 +135,12 @@ def _seen(node: Node, hidden: set[str]) -> bool:
     return True
 
 
+def _span(cell: Node) -> int:
+    """Columns of a cell, 1,000 at most as in the standard."""
+    value = cell.attributes.get("colspan", "")
+    return min(1000, max(1, int(value))) if re.fullmatch(r"[0-9]{1,9}", value) else 1
+
+
 class Renderer:
     """Lines of text under an indent; a line is closed by the block that ends it."""
 
@@ -214,7 +221,10 @@ class Renderer:
                 self.walk(child, pre, ordered)
 
     def table(self, table: Node) -> None:
-        """Rows of cells, each column as wide as its widest cell; cells of several lines take several rows."""
+        """Rows of cells, each column as wide as its widest cell; cells of several lines take several rows.
+
+        A cell that spans columns is followed by empty ones.
+        """
         rows, captions = [], []
 
         def cells(node: Node) -> None:
@@ -228,8 +238,9 @@ class Renderer:
                     cells(child)
                 elif child.tag == "tr":
                     row = [c for c in child.children if not isinstance(c, str) and c.tag in ("td", "th") and _seen(c, self.hidden)]
-                    loose = [c for c in child.children if c not in row]
-                    rows.append([self.block(c) for c in row])
+                    inside = set(map(id, row))
+                    loose = [c for c in child.children if id(c) not in inside]
+                    rows.append([t for c in row for t in (self.block(c), *[""] * (_span(c) - 1))])
                     captions.extend(x for x in (self.block_of(loose),) if x.strip())
                 elif child.tag in ("td", "th"):
                     rows.append([self.block(child)])
@@ -267,6 +278,8 @@ class Renderer:
 
 
 def render(page: str) -> str:
+    # nested tables take several calls a level
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * MAX_DEPTH))
     root, hidden = build(page)
     out = Renderer(set(hidden))
     out.walk(root)

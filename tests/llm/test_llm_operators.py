@@ -169,6 +169,17 @@ def test_rendering(page, text):
     assert html_text.render(page) == text
 
 
+def test_deep_and_wide_tables():
+    for opening in ("<table><td>", "<table><tr><td>", "<table><td><ul><li>"):
+        assert html_text.render(opening * 600 + "end").endswith("end")
+    assert html_text.render("<table><tr>" + "<td>a</td>" * 20_000 + "</tr></table>").split() == ["a"] * 20_000
+
+
+def test_cells_over_several_columns():
+    page = "<table><tr><td colspan=2>ab<td>c</tr><tr><td>1<td>2<td>3</tr><tr><td colspan=x>4</table>"
+    assert html_text.render(page) == "ab     c\n1   2  3\n4"
+
+
 def test_pages_odd_rows(spark):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     rows = [(1, None, "u"), (2, "", "u"), (None, "<p>x", "u"), (4, deep, "u"), (5, "<p>x", "u"), (5, "<p>x", "u")]
