@@ -21,6 +21,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lakeloom.llm.common import strings, text_of, with_columns
 from lakeloom.session import pinned
@@ -149,6 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """All columns of ``docs`` plus the score, from the text alone; an input column of that name gives way."""
     docs = docs.drop(name)
+    own = docs.schema["text"].dataType == StringType()  # then the text goes to Python once
     # at most one weight per bucket
     shared = docs.sparkSession.sparkContext.broadcast((model.buckets, model.weights, model.intercept))
 
@@ -158,17 +160,17 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         weights[buckets] = values
         for batch in batches:
             sums = []
-            for text in strings(batch, "__text"):
+            for text in strings(batch, "text" if own else "__text"):
                 at = gram_buckets(text)
                 hit = np.unique(at[weights[at] != 0])
                 sums.append(intercept + float(weights[hit].sum(dtype=np.float64)))
             scores = 1 / (1 + np.exp(-np.array(sums, np.float64)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(scores)], names=[*batch.schema.names[:-1], name]
+                [*batch.columns[:width], pa.array(scores)], names=[*batch.schema.names[:width], name]
             )
 
-    schema = with_columns(docs.schema, (name, "double"))
-    return docs.withColumn("__text", text_of(docs)).mapInArrow(run, schema)
+    schema, width = with_columns(docs.schema, (name, "double")), len(docs.columns)
+    return (docs if own else docs.withColumn("__text", text_of(docs))).mapInArrow(run, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
