@@ -244,7 +244,8 @@ def links(fps: DataFrame, routes: list[list[int]], limit: int, block: int = BLOC
     """
     routed = pinned(fps.select("fp").mapInArrow(_routed(routes), "route long, fp binary"))
     size = routed.groupBy("route").agg(F.count("*").alias("n")).filter("n > 1")
-    parts = size.select("route", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    # written first: AQE splits a hot route in the join only where no grouping feeds it
+    parts = pinned(size.select("route", F.ceil(F.col("n") / block).cast("int").alias("parts")))
     own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     met = (
         routed.join(parts, "route")
