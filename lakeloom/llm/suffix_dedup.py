@@ -348,7 +348,7 @@ def _recut(batches):
 def _thinned(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Contexts of crowded anchors cut to repeated windows and collapsed; and the places that collapsing settles."""
     windows = contexts.mapInArrow(_window_hashes, "anchor long, context long, copies long, at int, window long")
-    twice = windows.groupBy("anchor", "window").agg(F.sum("copies").alias("n")).filter("n > 1")
+    twice = pinned(windows.groupBy("anchor", "window").agg(F.sum("copies").alias("n")).filter("n > 1"))
     range_ = windows.join(twice, ["anchor", "window"]).groupBy("anchor", "context").agg(F.min("at").alias("low"), F.max("at").alias("high"))
     cut = pinned(
         contexts.join(range_, ["anchor", "context"])
@@ -369,9 +369,11 @@ def repeats(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """text_key, first, many: ``many`` windows that repeat, from byte ``first`` of the texts with that key."""
     texts = docs.select(F.xxhash64(text_of(docs)).alias("text_key"), F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     rows = pinned(texts.select("text_key", "text").mapInArrow(_anchor_rows, _ANCHORS))
-    often = rows.groupBy("anchor").agg(
-        F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed")
-    ).filter("n > 1").select("anchor", "mixed")
+    # written first: AQE splits a hot anchor in the join only where no grouping feeds it
+    often = pinned(
+        rows.groupBy("anchor").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed"))
+        .filter("n > 1").select("anchor", "mixed")
+    )
     found = pinned(rows.join(often, "anchor"))
     alike = pinned(
         found.filter("mixed").groupBy("anchor", "context").agg(
