@@ -48,19 +48,26 @@ def _seeds(tokens: str, masks=MASKS) -> Column:
 
 
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """item_id, item (word hashes), item_at and seed."""
+    """item_id, item_at, seed, and ``near``: the word hashes of the item around the place.
+
+    ``ahead`` and ``behind`` count those before and after it, ``AROUND`` at most, so that a
+    row stays small however long an item is.
+    """
     rows = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), _tokens(text_of(benchmark)).alias("item")
     ).withColumn("seeds", _seeds("item"))
-    return rows.select("item_id", "item", F.posexplode_outer("seeds").alias("place", "seed")).filter("seed is not null").select(
-        "item_id", "item", (F.col("place") % (F.size("item") - SPAN + 1)).cast("int").alias("item_at"), "seed"
-    )
+    rows = rows.select("item_id", "item", F.posexplode_outer("seeds").alias("place", "seed")).filter("seed is not null")
+    rows = rows.withColumn("item_at", (F.col("place") % (F.size("item") - SPAN + 1)).cast("int"))
+    ahead = F.least(F.lit(AROUND), F.col("item_at"))
+    behind = F.least(F.lit(AROUND), F.size("item") - F.col("item_at") - SPAN)
+    near = F.slice("item", F.col("item_at") - ahead + 1, ahead + SPAN + behind)
+    return rows.select("item_id", "item_at", "seed", ahead.alias("ahead"), behind.alias("behind"), near.alias("near"))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, and of the best overlap: equal, length, doc_at (its first word); hits counts seeds."""
     seeds = pinned(benchmark_seeds(benchmark))
-    held = seeds.agg(F.coalesce(F.sum(F.size("item") * 8 + 40), F.lit(0))).first()[0]
+    held = seeds.agg(F.coalesce(F.sum(F.size("near") * 8 + 48), F.lit(0))).first()[0]
     portions = -(-held // SEED_BYTES)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"),
@@ -73,15 +80,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         DataFrame.unionByName,
         [placed.join(F.broadcast(seeds.filter(own == k)), "seed") for k in range(max(1, portions))],
     ).withColumn("doc_at", (F.col("place") % (F.size("tokens") - SPAN + 1)).cast("int"))
-    left = F.least(F.lit(AROUND), "item_at", "doc_at")
-    right = F.least(
-        F.lit(AROUND), F.size("item") - F.col("item_at") - SPAN, F.size("tokens") - F.col("doc_at") - SPAN
-    )
+    left = F.least("ahead", "doc_at")
+    right = F.least("behind", F.size("tokens") - F.col("doc_at") - SPAN)
     hits = hits.select(
         "doc_id", "text_hash", "item_id",
         (F.col("doc_at") - left).alias("doc_at"), (left + SPAN + right).alias("length"),
         F.slice("tokens", F.col("doc_at") - left + 1, left + SPAN + right).alias("a"),
-        F.slice("item", F.col("item_at") - left + 1, left + SPAN + right).alias("b"),
+        F.slice("near", F.col("ahead") - left + 1, left + SPAN + right).alias("b"),
     )
     equal = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda e: e))
     checked = hits.select("doc_id", "text_hash", "item_id", "doc_at", "length", equal.alias("equal"))
