@@ -32,6 +32,8 @@ from lakeloom.session import pinned
 SEED = 42
 FAN = 8  # children of a node
 BLOCK = 20_000  # fingerprints of one block that one task searches
+PORTION = 100_000  # fingerprints of small blocks that a task holds at a time
+BLOCK_KEY = ("route", "left", "right")
 _BITS = np.array([[(v >> (7 - j)) & 1 for j in range(8)] for v in range(256)], np.int64)
 
 
@@ -213,30 +215,48 @@ def forest(n: int, portions) -> np.ndarray:
     return label
 
 
-def _linked(limit: int):
+def _portions(batches, rows: int):
+    """Tables of whole blocks from batches in block order; a table holds about so many rows, or one block."""
+    kept, held = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kept.append(batch)
+        held += batch.num_rows
+        if held < rows:
+            continue
+        table = pa.Table.from_batches(kept).combine_chunks()
+        keys = np.stack([table.column(c).to_numpy() for c in BLOCK_KEY])
+        other = np.flatnonzero((keys != keys[:, -1:]).any(axis=0))
+        cut = int(other[-1]) + 1 if len(other) else 0  # the last block may go on in the next batch
+        if cut:
+            yield table.slice(0, cut)
+        kept, held = table.slice(cut).to_batches(), table.num_rows - cut
+    if held:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _linked(limit: int, rows: int = PORTION):
     def run(batches):
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            return
-        rows = pa.Table.from_batches(tables).combine_chunks()
-        raw = np.frombuffer(b"".join(rows.column("fp").to_pylist()), ">u8").astype(np.uint64)
-        fps = raw.reshape(rows.num_rows, -1)
-        keys = np.stack([rows.column(c).to_numpy() for c in ("route", "left", "right")])
-        _, blocks = np.unique(keys, axis=1, return_inverse=True)
-        index = GrayIndex(fps, blocks.reshape(-1))
-        label = forest(len(fps), index.pairs(limit))
-        own = np.flatnonzero(label != np.arange(len(fps)))
-        a, b = index.fps[own], index.fps[label[own]]
-        differ = (a != b).any(axis=1)  # the same fingerprint may come twice to a block pair
-        as_bytes = lambda x: [r.tobytes() for r in x[differ].astype(">u8")]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(as_bytes(a), pa.binary()), pa.array(as_bytes(b), pa.binary())], names=["a", "b"]
-        )
+        for table in _portions(batches, rows):
+            raw = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64)
+            fps = raw.reshape(table.num_rows, -1)
+            keys = np.stack([table.column(c).to_numpy() for c in BLOCK_KEY])
+            blocks = np.concatenate(([0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))))
+            index = GrayIndex(fps, blocks)
+            label = forest(len(fps), index.pairs(limit))
+            own = np.flatnonzero(label != np.arange(len(fps)))
+            a, b = index.fps[own], index.fps[label[own]]
+            differ = (a != b).any(axis=1)  # the same fingerprint may come twice to a block pair
+            as_bytes = lambda x: [r.tobytes() for r in x[differ].astype(">u8")]  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(as_bytes(a), pa.binary()), pa.array(as_bytes(b), pa.binary())], names=["a", "b"]
+            )
 
     return run
 
 
-def links(fps: DataFrame, routes: list[list[int]], limit: int, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, routes: list[list[int]], limit: int, block: int = BLOCK, portion: int = PORTION) -> DataFrame:
     """Links (a, b) between distinct fingerprints: in each block a spanning forest of all its links.
 
     A block with more than ``block`` fingerprints is dealt into parts, and every two parts
@@ -253,7 +273,9 @@ def links(fps: DataFrame, routes: list[list[int]], limit: int, block: int = BLOC
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
         .select("route", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "fp")
     )
-    return met.repartition("route", "left", "right").mapInArrow(_linked(limit), "a binary, b binary")
+    # sorted, so that a task holds a portion of its blocks at a time, whatever the partition's size
+    dealt = met.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    return dealt.mapInArrow(_linked(limit, portion), "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:

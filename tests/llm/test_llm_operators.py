@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -262,6 +263,19 @@ def test_portions_of_seeds_give_the_same(spark, vocabulary, monkeypatch):
     assert decontaminate.overlaps(docs, benchmark).orderBy("item_id").collect() == whole and len(whole) == 2
 
 
+def test_long_items_are_kept_around_a_seed_only(spark, vocabulary):
+    rng = random.Random(5)
+    text = words_of(rng, 3000, vocabulary)
+    benchmark = spark.createDataFrame([(1, text)], "item_id long, text string")
+    seeds = decontaminate.benchmark_seeds(benchmark)
+    assert seeds.agg({"ahead": "max", "behind": "max"}).first()[:] == (decontaminate.AROUND,) * 2
+    assert {len(r["near"]) - r["ahead"] - r["behind"] for r in seeds.collect()} == {decontaminate.SPAN}
+    words = text.split()
+    docs = spark.createDataFrame([(k, " ".join(words[a : a + 40]), "en", "s", 0) for k, a in enumerate((0, 1500, 2960))], DOCUMENTS)
+    found = {(r["doc_id"], r["equal"], r["length"]) for r in decontaminate.overlaps(docs, benchmark).collect()}
+    assert found == {(k, 35, 35) for k in range(3)}
+
+
 # -- mixing ------------------------------------------------------------------------
 
 
@@ -494,6 +508,19 @@ def test_large_blocks_are_dealt(spark):
     star = simhash.components(simhash.links(frame, simhash.exact_routes(2), 2, block=5))
     small = {bytes(r["a"]): bytes(r["b"]) for r in star.collect()}
     assert {bytes(r["fp"]): bytes(r["root"]) for r in member} == {f: small.get(f, f) for f in set(fps)}
+    star = simhash.components(simhash.links(frame, simhash.exact_routes(2), 2, block=5, portion=7))
+    assert {bytes(r["a"]): bytes(r["b"]) for r in star.collect()} == small
+
+
+@pytest.mark.parametrize("rows", [1, 4, 7, 1000])
+def test_portions_hold_whole_blocks(rows):
+    rng = np.random.default_rng(3)
+    keys = sorted(zip(*rng.integers(-2, 2, (3, 60)).tolist(), strict=True))
+    table = pa.table(dict(zip(simhash.BLOCK_KEY, map(list, zip(*keys, strict=True)), strict=True)))
+    parts = [p.to_pylist() for p in simhash._portions(table.to_batches(max_chunksize=3), rows)]
+    assert [r for p in parts for r in p] == table.to_pylist()
+    assert all(a[-1] != b[0] for a, b in zip(parts, parts[1:], strict=False))
+    assert not list(simhash._portions(table.slice(0, 0).to_batches(), rows))
 
 
 # -- urls --------------------------------------------------------------------------
