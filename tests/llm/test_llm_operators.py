@@ -523,6 +523,76 @@ def test_portions_hold_whole_blocks(rows):
     assert not list(simhash._portions(table.slice(0, 0).to_batches(), rows))
 
 
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_by_hand(texts):
+    """The smallest member of each one's group, all pairs compared; and the pairs."""
+    sets = [shingle_set(t) for t in texts]
+    root, pairs = list(range(len(texts))), set()
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y = sets[j]
+            if x == y or 5 * len(x & y) >= 4 * len(x | y):
+                pairs.add((j, i))
+    changed = True
+    while changed:
+        changed = False
+        for j, i in pairs:
+            if root[i] != root[j]:
+                root[i] = root[j] = min(root[i], root[j])
+                changed = True
+    return root, pairs
+
+
+def test_near_copies_equal_brute_force_jaccard(spark, vocabulary):
+    rng = random.Random(23)
+    texts = []
+    for k in range(300):
+        # pairs a little above and below 0.8: some words in a row replaced, or words appended
+        words = words_of(rng, rng.choice([8, 9, 10, 12, 30, 94, 200]), vocabulary).split()
+        other, shingles = list(words), len(words) - 4
+        if k % 3 and len(words) >= 30:
+            cut = max(1, round(shingles * rng.uniform(0.07, 0.14)) - 4)
+            other[10 : 10 + cut] = words_of(rng, cut, vocabulary).split()
+        else:
+            other += words_of(rng, max(1, round(shingles * rng.uniform(0.1, 0.3))), vocabulary).split()
+        texts += [" ".join(words), " ".join(other)]
+    line = words_of(rng, 20, vocabulary)
+    texts += [line + " " + line, " ".join([line] * 9)]  # the same distinct shingles
+    root, pairs = similar_by_hand(texts)
+    assert 150 < len(pairs) < 290
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCUMENTS)
+    kept = {r["doc_id"] for r in simhash.without_near_duplicates(docs).collect()}
+    assert kept <= set(range(len(texts))) and set(root) <= kept  # nothing under 0.8 goes
+    assert len(kept - set(root)) <= 0.01 * len(pairs)  # and at 0.8 nearly all
+
+
+def test_rounds_check_every_pair_that_groups_do_not_settle(spark, vocabulary):
+    """Texts near one another of which few are similar: the pairs of the first round are not enough."""
+    rng = random.Random(29)
+    base = words_of(rng, 200, vocabulary).split()
+    texts = []
+    for _ in range(60):
+        words = list(base)
+        for at in rng.sample(range(10, 190, 8), rng.choice([2, 3, 6])):
+            words[at] = rng.choice(vocabulary)
+        texts.append(" ".join(words))
+    root, _ = similar_by_hand(texts)
+    assert 1 < len(set(root)) < 60
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCUMENTS)
+    prints = simhash.with_sets(docs, 5, 8)
+    node = {r["doc_id"]: bytes(r["node"]) for r in prints.collect()}
+    for block, first in ((simhash.BLOCK, 2), (7, 1)):
+        star = {bytes(r["a"]): bytes(r["b"]) for r in simhash.similar_groups(docs, prints, 5, 128, 80, block, first).collect()}
+        got = [star.get(node[i], node[i]) for i in range(60)]
+        assert {(i, j) for i in range(60) for j in range(60) if got[i] == got[j]} == {
+            (i, j) for i in range(60) for j in range(60) if root[i] == root[j]
+        }
+
+
 # -- urls --------------------------------------------------------------------------
 
 
