@@ -5,10 +5,13 @@ what a mask reads is a seed. Seeds of the benchmark and of the documents are joi
 each hit document and item are laid side by side, twelve words further on both sides, and
 the words that are equal are counted: ``MIN_EQUAL`` at least, and seven tenths of the
 stretch, make it an overlap. Words may be replaced within it, at ignored places or not.
+Where no hit of a document and item passes over its whole stretch, the best part of a
+stretch around the seed counts, by the same two limits: an excerpt within other text.
 
-Defined cases: words are runs of letters and digits, lower-cased. Null and empty texts, and
-texts and items of fewer than eleven words, have no seeds and no overlap. Items that repeat
-are reported each; documents that are equal in id and text are one row. Whole texts count.
+Defined cases: words are runs of letters and digits, lower-cased. Null and empty texts have
+no overlap. Items of fewer than eleven words have no seeds; a document that has all their
+words in a row overlaps them, a hit for each place. Items that repeat are reported each;
+documents that are equal in id and text are one row. Whole texts count.
 """
 
 from __future__ import annotations
@@ -84,24 +87,76 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     right = F.least("behind", F.size("tokens") - F.col("doc_at") - SPAN)
     hits = hits.select(
         "doc_id", "text_hash", "item_id",
-        (F.col("doc_at") - left).alias("doc_at"), (left + SPAN + right).alias("length"),
+        (F.col("doc_at") - left).alias("doc_at"), (left + SPAN + right).alias("length"), left.alias("left"),
         F.slice("tokens", F.col("doc_at") - left + 1, left + SPAN + right).alias("a"),
         F.slice("near", F.col("ahead") - left + 1, left + SPAN + right).alias("b"),
     )
-    equal = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda e: e))
-    checked = hits.select("doc_id", "text_hash", "item_id", "doc_at", "length", equal.alias("equal"))
+    checked = hits.select(
+        "doc_id", "text_hash", "item_id", "doc_at", "length", "left", F.zip_with("a", "b", lambda x, y: x == y).alias("same")
+    ).withColumn("equal", F.size(F.filter("same", lambda e: e)))
     # asked after the grouping: as a filter it would become part of the join, which then copies
     # all words of a document for each of its seeds
-    passed = (F.col("equal") >= MIN_EQUAL) & (100 * F.col("equal") >= MIN_PERCENT * F.col("length"))
+    passed = _passes(F.col("equal"), F.col("length"))
     place = F.struct("equal", (-F.col("length")).alias("short"), (-F.col("doc_at")).alias("early"))
     grouped = checked.groupBy("doc_id", "text_hash", "item_id").agg(
-        F.max(F.when(passed, place)).alias("best"), F.count_if(passed).alias("hits")
+        F.max(F.when(passed, place)).alias("best"), F.count_if(passed).alias("hits"),
+        F.max(F.when(~passed, _best_part())).alias("part"), F.count_if(~passed & _best_part().isNotNull()).alias("part_hits"),
+    )
+    best = F.coalesce("best", "part")
+    found = grouped.filter("hits > 0 or part_hits > 0").select(
+        "doc_id", "text_hash", "item_id", best["equal"].alias("equal"), (-best["short"]).alias("length"),
+        (-best["early"]).alias("doc_at"), F.when(F.col("hits") > 0, F.col("hits")).otherwise(F.col("part_hits")).alias("hits"),
+    )
+    short = _short_overlaps(docs, benchmark)
+    return found if short is None else found.unionByName(short)
+
+
+def _passes(equal: Column, length: Column) -> Column:
+    return (equal >= MIN_EQUAL) & (100 * equal >= MIN_PERCENT * length)
+
+
+def _best_part() -> Column:
+    """The part of a stretch with most equal words that passes, with the seed's words in it; null if none does."""
+    left, right = F.col("left"), F.col("length") - F.col("left") - SPAN
+
+    def part(i, j):
+        length = i + SPAN + j
+        equal = F.size(F.filter(F.slice("same", left - i + 1, length), lambda e: e))
+        return F.struct(equal.alias("equal"), (-length).alias("short"), (-(F.col("doc_at") + left - i)).alias("early"))
+
+    parts = F.transform(
+        F.sequence(F.lit(0), left), lambda i: F.transform(F.sequence(F.lit(0), right), lambda j: part(i, j))
     )
-    return grouped.filter("hits > 0").select(
-        "doc_id", "text_hash", "item_id", F.col("best.equal").alias("equal"), (-F.col("best.short")).alias("length"),
-        (-F.col("best.early")).alias("doc_at"), "hits",
+    return F.array_max(F.filter(F.flatten(parts), lambda p: _passes(p["equal"], -p["short"])))
+
+
+def _short_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """Items of fewer than ``SPAN`` words, as rows of ``overlaps``: all their words in a row. None without such items."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _tokens(text_of(benchmark)).alias("item"))
+    items = items.filter((F.size("item") > 0) & (F.size("item") < SPAN))
+    items = pinned(items.select("item_id", F.size("item").alias("length"), F.xxhash64("item").alias("run")))
+    lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # ten at most
+    if not lengths:
+        return None
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"),
+        _tokens(text_of(docs)).alias("tokens"),
     )
 
+    def runs(n: int) -> Column:
+        at = F.sequence(F.lit(0), F.size("tokens") - n)
+        each = F.transform(
+            at, lambda i: F.struct(F.lit(n).alias("length"), F.xxhash64(F.slice("tokens", i + 1, n)).alias("run"), i.alias("doc_at"))
+        )
+        return F.when(F.size("tokens") >= n, each).otherwise(F.array().cast("array<struct<length:int,run:bigint,doc_at:int>>"))
+
+    placed = rows.select("doc_id", "text_hash", F.explode(F.concat(*map(runs, lengths))).alias("r"))
+    hits = placed.select("doc_id", "text_hash", "r.*").join(items, ["length", "run"])
+    # a document that repeats is one row, its places counted as often as it does, as for longer items
+    return hits.groupBy("doc_id", "text_hash", "item_id").agg(
+        F.max("length").alias("equal"), F.max("length").alias("length"), F.min("doc_at").alias("doc_at"), F.count("*").alias("hits")
+    )
+
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap no item, in the columns of ``docs``."""

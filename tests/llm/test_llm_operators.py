@@ -276,6 +276,33 @@ def test_long_items_are_kept_around_a_seed_only(spark, vocabulary):
     assert found == {(k, 35, 35) for k in range(3)}
 
 
+def test_decontamination_finds_excerpts_within_other_text(spark, vocabulary):
+    rng = random.Random(31)
+    item = words_of(rng, 40, vocabulary).split()
+    benchmark = spark.createDataFrame(
+        [(1, " ".join(item)), (2, "Who wrote the 9th symphony?"), (3, None), (4, "")], "item_id long, text string"
+    )
+    docs, wanted = [], set()
+    for i, (start, n) in enumerate([(10, 20), (5, 11), (12, 24), (0, 12), (29, 11), (20, 8), (15, 9)]):
+        words = words_of(rng, 80, vocabulary).split()
+        words[40:40] = item[start : start + n]
+        docs.append((i, " ".join(words), "en", "s", 0))
+        if n >= 11:
+            wanted.add((i, 1, n, n, 40))
+    gap = item[10:30]
+    for p in (3, 9, 15):
+        gap[p] = "other"
+    docs.append((10, words_of(rng, 50, vocabulary) + " " + " ".join(gap) + " " + words_of(rng, 50, vocabulary), "en", "s", 0))
+    docs.append((11, "a b. Who wrote\nthe 9th SYMPHONY c", "en", "s", 0))
+    docs.append((12, "Who wrote the symphony 9th", "en", "s", 0))
+    docs = spark.createDataFrame(docs, DOCUMENTS)
+    found = {(r["doc_id"], r["item_id"], r["equal"], r["length"], r["doc_at"]) for r in decontaminate.overlaps(docs, benchmark).collect()}
+    assert wanted <= found and {f[:2] for f in found} == {w[:2] for w in wanted} | {(10, 1), (11, 2)}
+    assert (11, 2, 5, 5, 2) in found
+    kept = {r["doc_id"] for r in decontaminate.without_benchmark(docs, benchmark).collect()}
+    assert kept == {5, 6, 12}
+
+
 # -- mixing ------------------------------------------------------------------------
 
 
