@@ -8,7 +8,7 @@ that is left: blocks on lines of their own, blank lines around paragraphs, headi
 with indents, line breaks, preformatted text as it is, and table cells in aligned columns.
 
 Defined cases: a null or empty page gives an empty text. Unclosed and stray tags never
-lose text: a ``<`` that opens no tag is text. Nesting beyond ``MAX_DEPTH`` is flattened, text is kept.
+lose text: a ``<`` that opens no tag is text, and an open head ends where the HTML standard ends it. Nesting beyond ``MAX_DEPTH`` is flattened, text is kept.
 Repeated pages get equal texts. Extra columns of the input are not looked at.
 """
 
@@ -34,13 +34,14 @@ BLOCKS = set(
 )
 SPACED = set("blockquote dl figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
 CLOSES_P = BLOCKS - {"body", "html", "li", "dd", "dt", "caption"}
+IN_HEAD = set("title meta link base basefont bgsound style script noscript noframes template".split())
 ROW_GROUPS = {"thead", "tbody", "tfoot"}
 # an open element on the left is ended by a start tag on the right; the search stops at the barriers
 ENDED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "p": CLOSES_P,
     "td": {"td", "th", "tr"} | ROW_GROUPS, "th": {"td", "th", "tr"} | ROW_GROUPS, "tr": {"tr"} | ROW_GROUPS,
     "thead": ROW_GROUPS, "tbody": ROW_GROUPS, "tfoot": ROW_GROUPS, "caption": {"tr", "col", "colgroup"} | ROW_GROUPS,
-    "colgroup": {"tr"} | ROW_GROUPS, "head": {"body"},
+    "colgroup": {"tr"} | ROW_GROUPS,
 }
 BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "p": {"td", "th", "li", "dd", "button", "caption"}}
 TABLE_PARTS = {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"}
@@ -65,6 +66,14 @@ def _hides(style: str) -> bool:
     return "display:none" in flat or "visibility:hidden" in flat
 
 
+def _text(node: Node, value: str) -> Node:
+    """Append a text; the node that is open then, as text that is not blank ends an open head."""
+    if node.tag == "head" and not _SPACE.fullmatch(value):
+        node = node.parent
+    node.children.append(value)
+    return node
+
+
 def _ends(node: Node, tag: str) -> Node:
     """Close what a start tag ends; the node that the new element goes into."""
     while True:
@@ -86,7 +95,7 @@ def build(page: str) -> tuple[Node, list[str]]:
     at, lowered = 0, None
     for m in iter(lambda: _TAG.search(page, at), None):
         if m.start() > at:
-            node.children.append(page[at : m.start()])
+            node = _text(node, page[at : m.start()])
         at = m.end()
         if not m[2]:
             continue
@@ -101,6 +110,8 @@ def build(page: str) -> tuple[Node, list[str]]:
                 node.children.append(Node("p", {}, node))
             continue
         attributes = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(m[3])} if m[3] else {}
+        if node.tag == "head" and tag not in IN_HEAD:
+            node = node.parent
         node = _ends(node, tag)
         element = Node(tag, attributes, node)
         node.children.append(element)
@@ -118,7 +129,7 @@ def build(page: str) -> tuple[Node, list[str]]:
         elif element.depth < MAX_DEPTH:
             node = element
     if at < len(page):
-        node.children.append(page[at:])
+        _text(node, page[at:])
     return root, hidden
 
 

@@ -170,6 +170,20 @@ def test_rendering(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>T</title><p>Text <b>more</b>", "Text more"),
+        ("<html><head><title>T</title><meta charset=x><link rel=y>\n text<div>more</div></html>", "text\nmore"),
+        ("<head><script>s</script><style>t</style><noscript>n</noscript><template>u</template><body>v", "v"),
+        ("<head>\n<title>T</title>\n</head>x", "x"),
+        ("<head><title>T</title>only text", "only text"),
+    ],
+)
+def test_an_open_head_ends_at_content(page, text):
+    assert html_text.render(page) == text
+
+
 def test_deep_and_wide_tables():
     for opening in ("<table><td>", "<table><tr><td>", "<table><td><ul><li>"):
         assert html_text.render(opening * 600 + "end").endswith("end")
