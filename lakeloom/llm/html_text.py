@@ -3,7 +3,8 @@
 A small tree builder reads tags, closes what HTML leaves open (paragraphs, list items,
 table cells, options) and drops what is not shown: head, scripts, styles, templates,
 comments, ``hidden`` elements, ``display:none`` and ``visibility:hidden`` (inline or by a
-plain tag, class or id rule of a style sheet in the page). A renderer then writes all text
+plain tag, class or id rule of a style sheet in the page), titles and definitions of drawings,
+annotations of formulas, and options that are not marked as selected. A renderer then writes all text
 that is left: blocks on lines of their own, blank lines around paragraphs, headings, lists and tables, list markers
 with indents, line breaks, preformatted text as it is, and table cells in aligned columns.
 
@@ -27,13 +28,20 @@ from lakeloom.llm.common import strings, with_columns
 # fixed values of the HTML standard
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("head script style template noscript title iframe noembed noframes datalist object audio video canvas svg math select".split())
+UNSEEN = set("head script style template noscript title iframe noembed noframes datalist object audio video canvas".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table ul caption".split()
 )
 SPACED = set("blockquote dl figure h1 h2 h3 h4 h5 h6 hr menu ol p pre table ul".split())
 CLOSES_P = BLOCKS - {"body", "html", "li", "dd", "dt", "caption"}
+# drawings and formulas: what is not shown of them, what holds HTML, and what HTML ends them
+FOREIGN = {"svg", "math"}
+FOREIGN_UNSEEN = set("desc defs metadata annotation annotation-xml".split())
+HOLDS_HTML = set("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = BLOCKS - set("address article aside figcaption figure footer form header hgroup html legend main details dialog fieldset search section summary caption".split()) | set(
+    "b big br code em embed i img meta s small span strike strong sub sup tt u var".split()
+)
 IN_HEAD = set("title meta link base basefont bgsound style script noscript noframes template".split())
 ROW_GROUPS = {"thead", "tbody", "tfoot"}
 # an open element on the left is ended by a start tag on the right; the search stops at the barriers
@@ -66,6 +74,15 @@ def _hides(style: str) -> bool:
     return "display:none" in flat or "visibility:hidden" in flat
 
 
+def _foreign(node: Node) -> Node | None:
+    """The drawing or formula that the content of a node belongs to, if it is not HTML within one."""
+    while node and node.tag not in HOLDS_HTML:
+        if node.tag in FOREIGN:
+            return node
+        node = node.parent
+    return None
+
+
 def _text(node: Node, value: str) -> Node:
     """Append a text; the node that is open then, as text that is not blank ends an open head."""
     if node.tag == "head" and not _SPACE.fullmatch(value):
@@ -92,7 +109,7 @@ def build(page: str) -> tuple[Node, list[str]]:
     """The tree, and the selectors that a style sheet in the page hides."""
     root = node = Node("#root", {}, None)
     hidden: list[str] = []
-    at, lowered = 0, None
+    at, lowered, drawn = 0, None, False
     for m in iter(lambda: _TAG.search(page, at), None):
         if m.start() > at:
             node = _text(node, page[at : m.start()])
@@ -112,10 +129,15 @@ def build(page: str) -> tuple[Node, list[str]]:
         attributes = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(m[3])} if m[3] else {}
         if node.tag == "head" and tag not in IN_HEAD:
             node = node.parent
-        node = _ends(node, tag)
+        foreign = _foreign(node) if drawn else None
+        if foreign and tag in ENDS_FOREIGN:
+            node, foreign = foreign.parent, None
+        drawn = drawn or tag in FOREIGN
+        if not foreign:
+            node = _ends(node, tag)
         element = Node(tag, attributes, node)
         node.children.append(element)
-        if tag in VOID:
+        if tag in VOID or (foreign or tag in FOREIGN) and m[3].endswith("/"):
             continue
         if tag in RAW:
             lowered = lowered or page.lower()
@@ -134,7 +156,7 @@ def build(page: str) -> tuple[Node, list[str]]:
 
 
 def _seen(node: Node, hidden: set[str]) -> bool:
-    if node.tag in UNSEEN:
+    if node.tag in UNSEEN or node.tag in FOREIGN_UNSEEN and _foreign(node.parent):
         return False
     a = node.attributes
     if a and ("hidden" in a or _hides(a.get("style", "")) or node.tag == "input"):
@@ -152,6 +174,21 @@ def _span(cell: Node) -> int:
     return min(1000, max(1, int(value))) if re.fullmatch(r"[0-9]{1,9}", value) else 1
 
 
+def _chosen(select: Node, hidden: set[str]) -> list[Node]:
+    """The options that a page marks as selected: the last one; of a list box all options."""
+    options, left = [], [select]
+    while left:
+        node = left.pop()
+        if node.tag == "option":
+            options.append(node)
+        elif node is select or node.tag == "optgroup":
+            left += [c for c in reversed(node.children) if not isinstance(c, str) and _seen(c, hidden)]
+    size = select.attributes.get("size", "")
+    if "multiple" in select.attributes or re.fullmatch(r"[0-9]{1,9}", size) and int(size) > 1:
+        return options
+    return [o for o in options if "selected" in o.attributes][-1:]
+
+
 class Renderer:
     """Lines of text under an indent; a line is closed by the block that ends it."""
 
@@ -202,6 +239,15 @@ class Renderer:
                     self.text(child.attributes["alt"], pre)
             elif tag == "hr":
                 self.gap()
+            elif tag == "select":
+                for option in _chosen(child, self.hidden):
+                    self.text(" ", False)
+                    self.walk(option)
+                    self.text(" ", False)
+            elif tag == "text":  # labels of a drawing stand apart
+                self.text(" ", False)
+                self.walk(child, pre, ordered)
+                self.text(" ", False)
             elif tag == "table":
                 self.gap()
                 self.table(child)

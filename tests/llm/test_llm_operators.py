@@ -184,6 +184,27 @@ def test_an_open_head_ends_at_content(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds", "so x=2 holds"),
+        ("<math><semantics><mi>y</mi><annotation-xml><ci>z</ci></annotation-xml></semantics></math>", "y"),
+        ("<svg><title>t</title><desc>d</desc><defs/><metadata>m</metadata><path d='M0'/><text>left</text><text>right</text></svg>", "left right"),
+        ("<svg><defs><text>no</text></defs><g><text>a<tspan>b</tspan></text></g></svg>end", "ab end"),
+        ("<svg><foreignObject><p>one<p>two</foreignObject></svg>", "one\n\ntwo"),
+        ("<svg><defs><p>ends it", "ends it"),
+        ("a <svg hidden><text>no</text></svg>b", "a b"),
+    ],
+)
+def test_drawings_and_formulas_are_seen(page, text):
+    assert html_text.render(page) == text
+
+
+def test_selected_options_are_seen():
+    assert html_text.render("in <select><option>red<option selected>blue<option>green</select> ink") == "in blue ink"
+    assert html_text.render("<select multiple><option>a<optgroup label=g><option>b</select>") == "a b"
+
+
 def test_deep_and_wide_tables():
     for opening in ("<table><td>", "<table><tr><td>", "<table><td><ul><li>"):
         assert html_text.render(opening * 600 + "end").endswith("end")
