@@ -37,8 +37,8 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    placed = sharding.shard(sharding.digests(table(spark, folder, "documents")), 8, size="size")
-    return placed.select(
+    placed = sharding.shard(table(spark, folder, "documents"), 8)  # whole rows; digests of what comes out
+    return sharding.digests(placed, "shard", "slot").select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

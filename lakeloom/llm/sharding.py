@@ -25,12 +25,13 @@ BUCKET_BYTES = 32 << 20
 MIN_BUCKETS = 64
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, size in bytes plus one, and CRC-32 of the text: what a shard listing needs."""
+def digests(docs: DataFrame, *kept: str) -> DataFrame:
+    """doc_id, size in bytes plus one, and CRC-32 of the text: what a shard listing needs; and columns that are kept."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text_of(docs)) + 1).cast("long").alias("size"),
         F.crc32(text_of(docs)).alias("text_crc32"),
+        *kept,
     )
 
 

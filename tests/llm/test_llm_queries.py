@@ -5,12 +5,13 @@ from __future__ import annotations
 import importlib.util
 import os
 import re
+import zlib
 from collections import Counter
 
 import pytest
 
 from checks.compare import database, rows_of
-from lakeloom.llm import decontaminate, mixing, simhash, toxicity
+from lakeloom.llm import decontaminate, mixing, sharding, simhash, toxicity
 from lakeloom.llm.common import table
 from lakeloom.llm.queries import QUERIES
 from lakeloom.llm.sql import ORACLE
@@ -33,6 +34,16 @@ def test_query_covers_its_table(spark, name):
     assert got == Counter(r[0] for r in table(spark, FOLDER, of).select(key).collect())
 
 
+def test_sharding_shuffles_whole_documents(spark, monkeypatch):
+    seen, shard = [], sharding.shard
+    monkeypatch.setattr(sharding, "shard", lambda docs, *a, **k: seen.append(docs.columns) or shard(docs, *a, **k))
+    rows = QUERIES["op2_sharding"](spark, FOLDER).select("doc_id", "size", "text_crc32").collect()
+    docs = table(spark, FOLDER, "documents")
+    assert seen == [docs.columns]
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {d: (len(t) + 1, zlib.crc32(t)) for d, t in texts.items()}
+
+
 def test_entry_holds_every_query():
     import __spark_entry__ as entry
 
