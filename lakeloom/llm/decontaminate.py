@@ -2,16 +2,18 @@
 
 Fixed masks read seven of eleven neighbouring words and ignore the others; the hash of
 what a mask reads is a seed. Seeds of the benchmark and of the documents are joined. Around
-each hit document and item are laid side by side, twelve words further on both sides, and
-the words that are equal are counted: ``MIN_EQUAL`` at least, and seven tenths of the
-stretch, make it an overlap. Words may be replaced within it, at ignored places or not.
-Where no hit of a document and item passes over its whole stretch, the best part of a
-stretch around the seed counts, by the same two limits: an excerpt within other text.
+each hit document and item are laid side by side, twelve words further on both sides. Of
+this stretch the part counts that has most equal words, the shortest and first of several:
+it has the seed's words in it, ``MIN_EQUAL`` equal words at least, and seven tenths of its
+words are equal. Words may be replaced within it, at ignored places or not; an excerpt
+within other text is a part of its stretch.
 
 Defined cases: words are runs of letters and digits, lower-cased. Null and empty texts have
-no overlap. Items of fewer than eleven words have no seeds; a document that has all their
-words in a row overlaps them, a hit for each place. Items that repeat are reported each;
-documents that are equal in id and text are one row. Whole texts count.
+no overlap. Items of ``MIN_SHORT`` to ten words have no seeds; a document that has all their
+words in a row overlaps them, a hit for each place. Items of fewer words, one common word
+say, would remove documents wholesale: they are not searched, ``skipped_items`` names them.
+Items that repeat are reported each; documents that are equal in id and text are one row.
+Whole texts count.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ SPAN = 11
 AROUND = 12
 MIN_EQUAL = 10
 MIN_PERCENT = 70
-SEED_BYTES = 64 << 20  # seeds that are broadcast at once; more are joined in several portions
+MIN_SHORT = 5  # words that an item has at least
+SEED_BYTES = 64 << 20  # seeds that are broadcast at once
+PORTIONS = 3  # of so many bytes are broadcast one after the other; more seeds meet the documents in a shuffle
 
 
 def _tokens(text: Column) -> Column:
@@ -71,41 +75,42 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_hash, item_id, and of the best overlap: equal, length, doc_at (its first word); hits counts seeds."""
     seeds = pinned(benchmark_seeds(benchmark))
     held = seeds.agg(F.coalesce(F.sum(F.size("near") * 8 + 48), F.lit(0))).first()[0]
-    portions = -(-held // SEED_BYTES)
+    portions = max(1, -(-held // SEED_BYTES))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"),
         _tokens(text_of(docs)).alias("tokens"),
     ).withColumn("seeds", _seeds("tokens"))
     # outer: a filter on the size of ``seeds`` would be pushed below and compute the words once for each seed
     placed = rows.select("doc_id", "text_hash", "tokens", F.posexplode_outer("seeds").alias("place", "seed"))
-    own = F.pmod(F.xxhash64("item_id", "item_at"), F.lit(max(1, portions)))
-    hits = reduce(
-        DataFrame.unionByName,
-        [placed.join(F.broadcast(seeds.filter(own == k)), "seed") for k in range(max(1, portions))],
-    ).withColumn("doc_at", (F.col("place") % (F.size("tokens") - SPAN + 1)).cast("int"))
+    if portions <= PORTIONS:
+        own = F.pmod(F.xxhash64("item_id", "item_at"), F.lit(portions))
+        hits = reduce(
+            DataFrame.unionByName,
+            [placed.join(F.broadcast(seeds.filter(own == k)), "seed") for k in range(portions)],
+        )
+    else:  # seeds alone are dealt out, the words of a document come to its hits afterwards
+        slim = placed.select("doc_id", "text_hash", "place", "seed").filter("seed is not null")
+        found = pinned(slim.join(seeds, "seed"))
+        whose = F.col("f.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("f.text_hash") == F.col("r.text_hash"))
+        words = rows.select("doc_id", "text_hash", "tokens").dropDuplicates(["doc_id", "text_hash"])
+        hits = found.alias("f").join(words.alias("r"), whose).select("f.*", "r.tokens")
+    hits = hits.withColumn("doc_at", (F.col("place") % (F.size("tokens") - SPAN + 1)).cast("int"))
     left = F.least("ahead", "doc_at")
     right = F.least("behind", F.size("tokens") - F.col("doc_at") - SPAN)
     hits = hits.select(
-        "doc_id", "text_hash", "item_id",
-        (F.col("doc_at") - left).alias("doc_at"), (left + SPAN + right).alias("length"), left.alias("left"),
+        "doc_id", "text_hash", "item_id", "doc_at", left.alias("left"), right.alias("right"),
         F.slice("tokens", F.col("doc_at") - left + 1, left + SPAN + right).alias("a"),
         F.slice("near", F.col("ahead") - left + 1, left + SPAN + right).alias("b"),
     )
-    checked = hits.select(
-        "doc_id", "text_hash", "item_id", "doc_at", "length", "left", F.zip_with("a", "b", lambda x, y: x == y).alias("same")
-    ).withColumn("equal", F.size(F.filter("same", lambda e: e)))
-    # asked after the grouping: as a filter it would become part of the join, which then copies
-    # all words of a document for each of its seeds
-    passed = _passes(F.col("equal"), F.col("length"))
-    place = F.struct("equal", (-F.col("length")).alias("short"), (-F.col("doc_at")).alias("early"))
-    grouped = checked.groupBy("doc_id", "text_hash", "item_id").agg(
-        F.max(F.when(passed, place)).alias("best"), F.count_if(passed).alias("hits"),
-        F.max(F.when(~passed, _best_part())).alias("part"), F.count_if(~passed & _best_part().isNotNull()).alias("part_hits"),
-    )
-    best = F.coalesce("best", "part")
-    found = grouped.filter("hits > 0 or part_hits > 0").select(
-        "doc_id", "text_hash", "item_id", best["equal"].alias("equal"), (-best["short"]).alias("length"),
-        (-best["early"]).alias("doc_at"), F.when(F.col("hits") > 0, F.col("hits")).otherwise(F.col("part_hits")).alias("hits"),
+    same = F.transform(F.zip_with("a", "b", lambda x, y: x == y), lambda e: e.cast("int"))
+    # exploded: as a plain column it would be computed once for each use, and a filter on it would become
+    # part of the join, which then copies all words of a document for each of its seeds
+    laid = hits.select("doc_id", "text_hash", "item_id", "doc_at", "left", "right", F.explode(F.array(same)).alias("same"))
+    checked = laid.select("doc_id", "text_hash", "item_id", F.explode(F.array(_best_part())).alias("part"))
+    grouped = checked.groupBy("doc_id", "text_hash", "item_id").agg(F.max("part").alias("best"), F.count("part").alias("hits"))
+    found = grouped.filter("hits > 0").select(
+        "doc_id", "text_hash", "item_id", F.col("best.equal").alias("equal"), (-F.col("best.short")).alias("length"),
+        (-F.col("best.early")).alias("doc_at"), "hits",
     )
     short = _short_overlaps(docs, benchmark)
     return found if short is None else found.unionByName(short)
@@ -117,25 +122,40 @@ def _passes(equal: Column, length: Column) -> Column:
 
 def _best_part() -> Column:
     """The part of a stretch with most equal words that passes, with the seed's words in it; null if none does."""
-    left, right = F.col("left"), F.col("length") - F.col("left") - SPAN
 
-    def part(i, j):
-        length = i + SPAN + j
-        equal = F.size(F.filter(F.slice("same", left - i + 1, length), lambda e: e))
-        return F.struct(equal.alias("equal"), (-length).alias("short"), (-(F.col("doc_at") + left - i)).alias("early"))
+    def equal(start, n):
+        return F.aggregate(F.slice("same", start, n), F.lit(0), lambda a, e: a + e)
 
-    parts = F.transform(
-        F.sequence(F.lit(0), left), lambda i: F.transform(F.sequence(F.lit(0), right), lambda j: part(i, j))
+    core = equal(F.col("left") + 1, F.lit(SPAN))
+    ahead = F.transform(F.sequence(F.lit(0), "left"), lambda i: F.struct(i.alias("n"), equal(F.col("left") - i + 1, i).alias("equal")))
+    behind = F.transform(
+        F.sequence(F.lit(0), "right"), lambda j: F.struct((j + SPAN).alias("n"), (core + equal(F.col("left") + SPAN + 1, j)).alias("equal"))
     )
+    parts = F.transform(
+        ahead,
+        lambda x: F.transform(
+            behind,
+            lambda y: F.struct(
+                (x["equal"] + y["equal"]).alias("equal"), (-x["n"] - y["n"]).alias("short"),
+                (x["n"] - F.col("doc_at")).alias("early"),
+            ),
+        ),
+    )
     return F.array_max(F.filter(F.flatten(parts), lambda p: _passes(p["equal"], -p["short"])))
 
 
+def skipped_items(benchmark: DataFrame) -> DataFrame:
+    """item_id and number of words of the items that are too short to be searched."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.size(_tokens(text_of(benchmark))).alias("n_words"))
+    return items.filter(F.col("n_words") < MIN_SHORT)
+
+
 def _short_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
-    """Items of fewer than ``SPAN`` words, as rows of ``overlaps``: all their words in a row. None without such items."""
+    """Items of ``MIN_SHORT`` words to fewer than ``SPAN``, as rows of ``overlaps``: all their words in a row. None without such items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _tokens(text_of(benchmark)).alias("item"))
-    items = items.filter((F.size("item") > 0) & (F.size("item") < SPAN))
+    items = items.filter((F.size("item") >= MIN_SHORT) & (F.size("item") < SPAN))
     items = pinned(items.select("item_id", F.size("item").alias("length"), F.xxhash64("item").alias("run")))
-    lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # ten at most
+    lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # six at most
     if not lengths:
         return None
     rows = docs.select(

@@ -160,7 +160,8 @@ def mixed_documents(docs: DataFrame, seed: int = 17, **how) -> DataFrame:
         same = part if same is None else same & part
     joined = keyed.alias("d").join(taken.alias("t"), same).select("d.*", "t.__times", "t.__rows")
     one = joined.filter("__rows = 1").withColumn("__copies", F.col("__times"))
-    many = joined.filter("__rows > 1").withColumn("__tie", F.monotonically_increasing_id())
+    # written: both branches below must see the same numbers
+    many = pinned(joined.filter("__rows > 1").withColumn("__tie", F.monotonically_increasing_id()))
     # repeats of one row are numbered within salted groups, so that a hot row is not one task's work
     salted = many.withColumn("__salt", F.col("__tie") % 64)
     groups = salted.groupBy(*key, "__salt").agg(F.count("*").alias("__in"))

@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import strings, text_of
@@ -33,6 +33,7 @@ SEED = 42
 FAN = 8  # children of a node
 BLOCK = 20_000  # fingerprints of one block that one task searches
 PORTION = 100_000  # fingerprints of small blocks that a task holds at a time
+ROOM = 64 << 20  # bytes that a search takes for the pairs it has open
 BLOCK_KEY = ("route", "left", "right")
 ROUTES, ROUTE_ROWS = 16, 4  # of the search by similarity
 _SEEDS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, ROUTES * ROUTE_ROWS), dtype=np.uint64)
@@ -172,8 +173,13 @@ class GrayIndex:
             blocks = blocks[heads]
         self.roots = blocks
 
-    def pairs(self, limit: int, room: int = 2_000_000):
-        """(i, j), i before j in the sorted order, of one block and within the limit; in portions."""
+    def pairs(self, limit: int, room: int = ROOM):
+        """(i, j), i before j in the sorted order, of one block and within the limit; in portions.
+
+        A portion takes ``room`` bytes, were no node left out: a pair has three numbers and,
+        while bits are compared, five rows of words.
+        """
+        room = max(1, room // (24 + 40 * self.fps.shape[1]))
         spread = np.diff(np.append(np.flatnonzero(np.concatenate(([True], self.blocks[1:] != self.blocks[:-1]))), len(self.blocks)))
         each = np.repeat(spread, spread)
         upto, total = 0, np.cumsum(each)
@@ -186,19 +192,21 @@ class GrayIndex:
         q, node = queries, np.searchsorted(self.roots, self.blocks[queries])
         known = np.zeros((len(q), self.fps.shape[1]), np.uint64)  # bits that nodes above have in common
         total = np.zeros(len(q), np.int64)
-        for level in range(len(self.levels) - 1, -1, -1):
+        for level in range(len(self.levels) - 1, 0, -1):
             low, high, first, last = self.levels[level]
             shared = ~(low[node] ^ high[node])
             total = total + np.bitwise_count((self.fps[q] ^ low[node]) & shared & ~known).sum(axis=1)
             keep = total <= limit
             q, node, total, shared = q[keep], node[keep], total[keep], shared[keep]
-            if not level:
-                keep = node > q
-                return q[keep], node[keep]
             n = last[node] - first[node] + 1
             below = np.repeat(first[node] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            q, node, total, known = np.repeat(q, n), below, np.repeat(total, n), np.repeat(shared, n, axis=0)
-        return q, node
+            q, node, total = np.repeat(q, n), below, np.repeat(total, n)
+            if level > 1:  # a fingerprint is compared whole
+                known = np.repeat(shared, n, axis=0)
+        keep = node > q
+        q, node = q[keep], node[keep]
+        near = np.bitwise_count(self.fps[q] ^ self.fps[node]).sum(axis=1) <= limit
+        return q[near], node[near]
 
 
 def forest(n: int, portions) -> np.ndarray:
@@ -416,7 +424,7 @@ def _candidates(limit: int, low: int, high: int, rows: int = PORTION):
 
 
 def _sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """node and its sorted shingle hashes, of the nodes in pairs, from one row each."""
+    """node and its distinct shingle hashes, of the nodes in pairs, from one row each."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     rows = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row_hash").alias("row_hash"))
     chosen = pinned(rows.select("row_hash").distinct())
@@ -427,25 +435,17 @@ def _sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, width: int) -> D
         for batch in batches:
             sets = [_set_of(t, width) for t in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_node_of(h) for h in sets], pa.binary()), pa.array([h.astype("<u8").tobytes() for h in sets], pa.binary())],
+                [pa.array([_node_of(h) for h in sets], pa.binary()), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))],
                 names=["node", "shingles"],
             )
 
-    return once.mapInArrow(run, "node binary, shingles binary").dropDuplicates(["node"])
+    return once.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
-def _similar(percent: int):
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
-
-    return run
+def _similar(percent: int) -> Column:
+    """Whether the distinct shingles x and y are that similar; a pair at a time, however long the two are."""
+    both = F.size(F.array_intersect("x", "y"))
+    return 100 * both >= percent * (F.size("x") + F.size("y") - both)
 
 
 def similar_groups(
@@ -477,7 +477,7 @@ def similar_groups(
         sets = pinned(_sets(docs, prints, pairs, width))
         of_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
         both = of_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        checked = both.mapInArrow(_similar(percent), "a binary, b binary")
+        checked = both.filter(_similar(percent)).select("a", "b")
         star = components(checked if star is None else star.unionByName(checked))
         open_ = pinned(found.filter("a is null").select(*BLOCK_KEY).distinct())
         if open_.isEmpty():

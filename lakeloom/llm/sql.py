@@ -58,13 +58,21 @@ hits AS (SELECT ds.doc_id, bs.item_id, ds.w AS dw, bs.w AS bw, ds.i AS di, bs.i
   least({_R}, ds.i - 1, bs.i - 1) AS l,
   least({_R}, len(ds.w) - ds.i - {_S} + 1, len(bs.w) - bs.i - {_S} + 1) AS r
   FROM ds JOIN bs ON ds.seed = bs.seed),
-laid AS (SELECT doc_id, item_id, di - 1 - l AS doc_at, l + {_S} + r AS length,
-  len(list_filter(range(-l, {_S} + r), lambda x: dw[di + x] = bw[bi + x])) AS equal FROM hits),
-good AS (SELECT * FROM laid WHERE equal >= {decontaminate.MIN_EQUAL} AND 100 * equal >= {decontaminate.MIN_PERCENT} * length)
+laid AS (SELECT *, list_transform(range(-l, {_S} + r), lambda x: CAST(dw[di + x] = bw[bi + x] AS INTEGER)) AS same FROM hits),
+parts AS (SELECT doc_id, item_id, di, bi, di - 1 - i AS doc_at, i + {_S} + j AS length, list_sum(same[l - i + 1:l + {_S} + j]) AS equal
+  FROM (SELECT *, unnest(range(0, r + 1)) AS j FROM (SELECT *, unnest(range(0, l + 1)) AS i FROM laid))),
+good AS (SELECT * FROM parts WHERE equal >= {decontaminate.MIN_EQUAL} AND 100 * equal >= {decontaminate.MIN_PERCENT} * length),
+seeded AS (SELECT doc_id, item_id, max({{'equal': CAST(equal AS BIGINT), 'short': -length, 'early': -doc_at}}) AS best FROM good GROUP BY doc_id, item_id),
+counted AS (SELECT doc_id, item_id, count(*) AS hits FROM
+  (SELECT doc_id, item_id, l, r, same, di, bi FROM laid) h
+  WHERE EXISTS (SELECT 1 FROM good g WHERE g.doc_id = h.doc_id AND g.item_id = h.item_id AND g.di = h.di AND g.bi = h.bi)
+  GROUP BY doc_id, item_id),
+short AS (SELECT d.doc_id, s.item_id, len(s.w) AS n, unnest(list_filter(range(1, len(d.w) - len(s.w) + 2), lambda x: d.w[x:x + len(s.w) - 1] = s.w)) AS place
+  FROM d, (SELECT * FROM b WHERE len(w) BETWEEN {decontaminate.MIN_SHORT} AND {_S} - 1) s)
 SELECT doc_id, item_id, CAST(best.equal AS INTEGER) AS equal, CAST(-best.short AS INTEGER) AS length,
-  CAST(-best.early AS INTEGER) AS doc_at, hits
-FROM (SELECT doc_id, item_id, max({{'equal': equal, 'short': -length, 'early': -doc_at}}) AS best, count(*) AS hits
-  FROM good GROUP BY doc_id, item_id)"""
+  CAST(-best.early AS INTEGER) AS doc_at, hits FROM seeded JOIN counted USING (doc_id, item_id)
+UNION ALL SELECT doc_id, item_id, CAST(max(n) AS INTEGER), CAST(max(n) AS INTEGER), CAST(min(place) - 1 AS INTEGER), count(*)
+FROM short GROUP BY doc_id, item_id"""
 
 _COMMON = "[" + ", ".join(f"'{w}'" for w in quality.COMMON) + "]"
 _N_COMMON, _N_CHARS = len(quality.COMMON), len(quality.CLASSES) + 1

@@ -338,6 +338,48 @@ def test_decontamination_finds_excerpts_within_other_text(spark, vocabulary):
     assert kept == {5, 6, 12}
 
 
+def against_sql(docs, benchmark):
+    """Rows of the registered SQL over small tables."""
+    import duckdb
+
+    from lakeloom.llm.sql import ORACLE
+
+    con = duckdb.connect()
+    frames = {"documents": docs.toArrow(), "benchmark": benchmark.toArrow()}
+    for name, frame in frames.items():
+        con.register(name, frame)
+    return {r[:6] for r in con.execute(ORACLE["op5_decontamination"]).fetchall()}
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_decontamination_equals_sql_on_excerpts_and_short_items(spark, vocabulary, monkeypatch, shuffled):
+    rng = random.Random(37)
+    items = [words_of(rng, n, vocabulary) for n in (12, 16, 30, 60, 60, 90)] + [
+        words_of(rng, n, vocabulary) for n in (5, 6, 7, 10, 10)
+    ] + ["yes", "the right answer", "", None, "Word word word word word"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = []
+    for i in range(250):
+        words = words_of(rng, rng.choice([0, 9, 40, 120]), vocabulary).split()
+        for item in rng.sample([x for x in items[:11]], 2):
+            part = item.split()
+            start = rng.randrange(len(part)) if i % 3 else 0
+            part = part[start : start + rng.choice([8, 11, 14, 25, 99])]
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                part[rng.randrange(len(part))] = "other"
+            at = rng.randint(0, len(words))
+            words[at:at] = part
+        docs.append((i, " ".join(words) + rng.choice([" yes", " the right answer.", " word " * 7]), "en", "s", 0))
+    docs = spark.createDataFrame(docs, DOCUMENTS)
+    if shuffled:  # so many seeds that they are not broadcast
+        monkeypatch.setattr(decontaminate, "SEED_BYTES", 10_000)
+    got = {tuple(r) for r in decontaminate.overlaps(docs, benchmark).select("doc_id", "item_id", "equal", "length", "doc_at", "hits").collect()}
+    assert got == against_sql(docs, benchmark)
+    assert {1, 3, 8} < {r[1] for r in got} and {r[3] for r in got} & set(range(11, 35))  # items of both kinds, and parts
+    assert not {11, 12, 13, 14} & {r[1] for r in got}
+    assert {r["item_id"] for r in decontaminate.skipped_items(benchmark).collect()} == {11, 12, 13, 14}
+
+
 # -- mixing ------------------------------------------------------------------------
 
 
@@ -553,6 +595,22 @@ def test_gray_index_finds_every_pair(limit, words):
     assert found == want
 
 
+def test_search_keeps_to_its_room():
+    """Near copies in one block, of which no node can be left out: memory does not follow the number of pairs."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 64, 8, dtype=np.uint64)
+    fps = np.repeat(base[None, :], 3000, axis=0)
+    fps[np.arange(3000), rng.integers(0, 8, 3000)] ^= np.uint64(1) << rng.integers(0, 64, 3000).astype(np.uint64)
+    index = simhash.GrayIndex(fps, np.zeros(3000, np.int64))
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in index.pairs(128, room=8 << 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 3000 * 2999 // 2 and peak < 16 << 20
+
+
 def test_gray_neighbours_differ_in_one_bit():
     codes = np.array([i ^ (i >> 1) for i in range(1 << 10)], np.uint64)[:, None]
     assert simhash.gray_rank(codes)[:, 0].tolist() == list(range(1 << 10))

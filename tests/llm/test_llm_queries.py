@@ -11,7 +11,7 @@ from collections import Counter
 import pytest
 
 from checks.compare import database, rows_of
-from lakeloom.llm import decontaminate, mixing, sharding, simhash, toxicity
+from lakeloom.llm import decontaminate, mixing, sharding, toxicity
 from lakeloom.llm.common import table
 from lakeloom.llm.queries import QUERIES
 from lakeloom.llm.sql import ORACLE
@@ -60,6 +60,31 @@ def pipeline():
     return module
 
 
+def smallest_of_groups(rows):
+    """The smallest id of each group of texts whose five-word shingles have a Jaccard similarity of 0.8."""
+    sets = {}
+    for d, text in rows:
+        words = (text or "").encode().lower().decode().split()
+        shingles = frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+        sets[shingles] = min(d, sets.get(shingles, d))
+    least = dict(sets)
+    by_size = sorted(least, key=len)
+    posted, links = {}, []
+    for x in by_size:
+        shared = Counter(y for s in x for y in posted.get(s, ()))
+        links += [(x, y) for y, n in shared.items() if 5 * n >= 4 * (len(x) + len(y) - n)]
+        for s in x:
+            posted.setdefault(s, []).append(x)
+    changed = True
+    while changed:
+        changed = False
+        for x, y in links:
+            if least[x] != least[y]:
+                least[x] = least[y] = min(least[x], least[y])
+                changed = True
+    return set(least.values())
+
+
 def test_pipeline_stages_do_what_they_say(spark, pipeline, tmp_path):
     docs = table(spark, FOLDER, "documents")
     columns = docs.columns
@@ -76,16 +101,9 @@ def test_pipeline_stages_do_what_they_say(spark, pipeline, tmp_path):
     # toxicity: what the model rejects, and nothing else
     scored = toxicity.score(kept[0][0], toxicity.fit(kept[0][0], labels)).collect()
     assert sorted(ids[1]) == sorted(r["doc_id"] for r in scored if r["score"] < 0.3)
-    # near copies: groups by comparing all fingerprints, the smallest id of each stays
-    prints = [(r["doc_id"], int.from_bytes(simhash.fingerprint(r["text"], 5, 8))) for r in kept[0][1].collect()]
-    root = {d: d for d, _ in prints}
-    for _ in range(4):
-        for a, x in prints:
-            for b, y in prints:
-                if (x ^ y).bit_count() <= 80:
-                    root[a] = root[b] = min(root[a], root[b])
-    lost = set(root.values()) ^ set(ids[2])
-    assert len(lost) <= 0.02 * len(prints)
+    # near copies: groups by exact Jaccard similarity of all pairs, the smallest id of each stays
+    rows = kept[0][1].select("doc_id", "text").collect()
+    assert sorted(ids[2]) == sorted(smallest_of_groups([(r["doc_id"], r["text"]) for r in rows]))
     # the benchmark
     found = decontaminate.overlaps(kept[1][1], table(spark, FOLDER, "benchmark")).select("doc_id").collect()
     assert sorted(ids[3]) == sorted(set(ids[2]) - {r[0] for r in found})
