@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import (
+    conversation_trie,
     decontaminate,
     html_text,
     licenses,
@@ -15,9 +16,11 @@ from lakeloom.llm import (
     quality,
     sharding,
     simhash,
+    spelling,
     suffix_dedup,
     toxicity,
     url_rules,
+    vector_search,
 )
 from lakeloom.llm.common import table
 
@@ -80,10 +83,23 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, folder, "conversations"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_sharding, op3_html_text, op4_quality, op5_decontamination,
         op6_mixing, op7_suffix_dedup, op8_licenses, op9_simhash, op10_url_rules,
+        op11_conversation_trie, op12_spelling, op13_vector_search,
     )
 }

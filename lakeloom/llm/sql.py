@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeloom.llm import decontaminate, mixing, quality
+from lakeloom.llm import decontaminate, mixing, quality, spelling, vector_search
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
@@ -117,10 +117,77 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND coalesce(char_distance, 0) <= {quality.MAX_CHAR_DISTANCE}
     AND coalesce(word_distance, 0) <= {quality.MAX_WORD_DISTANCE} AS kept, char_distance, word_distance FROM j"""
 
+# CRC-32 of a list of bytes, with the table ``tb`` of ``crc_table``
+_CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i:
+  list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tb)"""
+
+
+def _crc(byte_list: str) -> str:
+    step = "xor(a >> 8, tb[CAST((xor(a, b) & 255) + 1 AS BIGINT)])"
+    return f"xor(list_reduce(list_prepend(4294967295, {byte_list}), lambda a, b: {step}), 4294967295)"
+
+
+_DIGITS = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+_TRIE = f"""
+WITH {_CRC_TABLE},
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST) AS place FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc(_DIGITS)} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc_table),
+again AS (SELECT c.conv_id, 0 AS own, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h),
+lined AS (SELECT conv_id, md5(role || chr(1) || text) AS key, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth FROM again),
+paths AS (SELECT conv_id, depth, size, list(key) OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path FROM lined
+  UNION ALL SELECT conv_id, 0, 0, [] FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id),
+nodes AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM paths JOIN lengths USING (conv_id) GROUP BY depth, path),
+up AS (SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+children AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN children USING (depth, path)),
+below AS (SELECT a AS depth, path[1:a] AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM full_nodes) GROUP BY ALL)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM full_nodes JOIN below USING (depth, path)"""
+
+_UTF8 = """flatten(list_transform(string_split({}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+  ELSE [CAST(192 + (unicode(x) >> 6) AS BIGINT), CAST(128 + (unicode(x) & 63) AS BIGINT)] END))"""
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS n FROM
+  (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc(_UTF8.format("concat(doc_id, ':', run)"))} AS h FROM runs, crc_table),
+slipped AS (SELECT n, CASE WHEN h % {spelling.SLIP} = 0 THEN concat(substr(run, 1, CAST(h % length(run) AS BIGINT)), substr(run, CAST(h % length(run) AS BIGINT) + 2)) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= {spelling.LETTERS} GROUP BY word HAVING sum(n) >= {spelling.TIMES}),
+cut AS (SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE concat(substr(word, 1, i - 1), substr(word, i + 1)) END AS rest
+  FROM (SELECT *, unnest(range(0, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.word <> b.word
+  AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+best AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+named AS (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.near_n >= {spelling.FACTOR} * w.n THEN b.near END AS form,
+  CASE WHEN b.near_n >= {spelling.FACTOR} * w.n THEN b.near_n END AS form_n FROM words w LEFT JOIN best b ON b.word = w.word),
+chain AS (SELECT word, word AS root, 0 AS step FROM named UNION ALL
+  SELECT c.word, f.form, step + 1 FROM chain c JOIN named f ON f.word = c.root WHERE f.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM named JOIN last USING (word)"""
+
+_VECTORS = f"""
+WITH v AS (SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, lambda x: CAST(floor({vector_search.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.own, q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), 0) AS score
+  FROM v q JOIN v c ON q.own <> c.own AND len(q.e) = len(c.e) WHERE q.vec_id % {vector_search.EVERY} = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {vector_search.TOP}"""
+
 assert mixing.WEIGHTS == (3, 1, 2) and mixing.SHARE == (3, 2) and mixing.MOST == 2
 
 ORACLE: dict[str, str] = {
     "op4_quality": _QUALITY,
     "op5_decontamination": _DECONTAMINATION,
     "op6_mixing": _MIX,
+    "op11_conversation_trie": _TRIE,
+    "op12_spelling": _SPELLING,
+    "op13_vector_search": _VECTORS,
 }
