@@ -14,7 +14,10 @@ subject, not a chain of p joins:
 No step gathers an unbounded group. With ``max_fields`` the first k values are taken
 before the shuffle (``row_number() <= k`` becomes a group limit on the map side).
 Without it equal triples are counted first, and a pair with more values than
-``PIECE`` is split by value hash into pieces that live in different tasks.
+``PIECE``, repeats included, is split into pieces that live in different tasks: by value
+hash, and a triple that repeats more often than that into several. The large pairs of a
+subject span a grid of pieces. Its cells are numbered as one range, and one join on
+(subject, predicate, piece) brings each cell its values, however many predicates are large.
 """
 
 from __future__ import annotations
@@ -126,41 +129,44 @@ def _counted_values(facts: DataFrame) -> DataFrame:
     return facts.groupBy("subject", "predicate", F.col("cat_object").alias("v")).agg(F.count("*").alias("n"))
 
 
-def all_fields(facts: DataFrame, piece: int = PIECE) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """``(subject, fields, pieces)`` with all values, and the pieces of large pairs by predicate.
+def all_fields(facts: DataFrame, piece: int = PIECE) -> tuple[DataFrame, DataFrame | None]:
+    """``(subject, fields, pieces)`` with all values, and the pieces of the large pairs, None without any.
 
-    A pair with more than ``piece`` distinct values is not in ``fields``; ``pieces`` maps
-    its predicate to the number of pieces, and the values are in
-    ``(subject, piece, vals)`` of that predicate. The counted values are written once to
-    the shared folder, because two passes go over them: one asks which predicates have
-    such pairs (usually none, and then the split is not in the plan), one builds the maps.
+    A pair with more than ``piece`` values, repeats included, is not in ``fields``; ``pieces``
+    maps its predicate to the number of pieces, and the values are in ``(subject, predicate,
+    piece, vals)``. The counted values are written once to the shared folder, because two
+    passes go over them: one finds the large pairs (usually none, and then the split is not
+    in the plan), one builds the maps.
     """
     stage = fresh_folder(facts.sparkSession, "values")
     _counted_values(facts).write.parquet(stage)
     counted = facts.sparkSession.read.parquet(stage)
-    large = (
+    large = pinned(
         counted.groupBy("subject", "predicate")
-        .agg(F.count("*").alias("size"))
+        .agg(F.sum("n").alias("size"))
         .filter(F.col("size") > piece)
-        .withColumn("n_pieces", F.ceil(F.col("size") / piece))
+        .select("subject", "predicate", F.ceil(F.col("size") / piece).alias("n_pieces"))
     )
-    names = [r[0] for r in large.select("predicate").distinct().collect()]
-    if not names:
-        return _maps(counted, "v").withColumn("pieces", F.lit(None).cast("map<string,bigint>")), {}
+    if large.isEmpty():
+        return _maps(counted, "v").withColumn("pieces", F.lit(None).cast("map<string,bigint>")), None
 
-    marked = counted.join(large.select("subject", "predicate", "n_pieces"), ["subject", "predicate"], "left")
+    marked = counted.join(large, ["subject", "predicate"], "left")
     small = _maps(marked.filter("n_pieces is null"), "v")
     numbers = large.groupBy("subject").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("predicate", "n_pieces")))).alias("pieces")
     )
+    # a value that repeats is cut too, its parts to pieces that follow one another
+    parts = explode_range(marked.filter("n_pieces is not null"), F.ceil(F.col("n") / piece), "__chunk")
+    place = F.pmod(F.pmod(F.xxhash64("v"), F.col("n_pieces")) + F.col("__chunk"), F.col("n_pieces"))
     cut = (
-        marked.filter("n_pieces is not null")
-        .withColumn("piece", F.pmod(F.xxhash64("v"), F.col("n_pieces")))
+        parts.select(
+            "subject", "predicate", "v", place.alias("piece"),
+            F.least(F.lit(piece).cast("long"), F.col("n") - F.col("__chunk") * piece).alias("n"),
+        )
         .groupBy("subject", "predicate", "piece")
         .agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("vals"))
-    )
-    parts = {name: cut.filter(F.col("predicate") == name).drop("predicate") for name in sorted(names)}
-    return small.join(numbers, "subject", "full_outer"), parts
+    )
+    return small.join(numbers, "subject", "full_outer"), cut
 
 
 # -- seed subjects: one row per (type, subject) ------------------------------
@@ -221,7 +227,7 @@ def capped_subjects(
     A subject with a large pair has one line per piece, numbered in ``part``.
     """
     used = predicates.select(F.explode("predicates").alias("predicate")).distinct()
-    fields, parts = all_fields(facts.join(used, "predicate").select("subject", "predicate", "cat_object"), piece)
+    fields, values = all_fields(facts.join(used, "predicate").select("subject", "predicate", "cat_object"), piece)
     rows = (
         _counted_members(members)
         .join(predicates.withColumnRenamed("type", "seed_table"), "seed_table", "left")
@@ -239,32 +245,47 @@ def capped_subjects(
         F.map_filter("pieces", lambda k, _: F.array_contains(wanted, k)).alias("pieces"),
         F.lit(0).cast("long").alias("part"),
     )
-    for name, values in parts.items():
-        rows = _attach_pieces(rows, name, values)
-    return rows.drop("pieces")
+    if values is None:
+        return rows.drop("pieces")
+    return _on_grid(rows, values)
 
 
-def _attach_pieces(rows: DataFrame, predicate: str, values: DataFrame) -> DataFrame:
-    """Give each row with a large pair one copy per piece, holding that piece's values.
+def _strides(sizes: Column) -> Column:
+    """Products of the sizes before each place, and of all at the end."""
+    one = F.array(F.lit(1).cast("long"))
+    return F.aggregate(sizes, one, lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) * n)))
+
 
-    The join key is (subject, piece), so the copies of one subject go to different tasks.
+def _on_grid(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows with large pairs once per cell of their grid of pieces, with the values of the cell's pieces.
+
+    A cell is the ``part``-th of the range of all cells; its place on the axis of a predicate
+    is the piece it needs. Cells go to different tasks before they ask for their pieces, and
+    all that they ask for comes in one join. Of what a row has besides, one of its cell's
+    requests carries a copy. A cell with a piece that got no value by its hash adds no row.
     """
-    count = F.get(F.map_values(F.map_filter("pieces", lambda k, _: k == predicate)), F.lit(0))
-    numbers = F.when(count.isNotNull(), F.sequence(F.lit(0).cast("long"), count - 1))
-    spread = rows.withColumn("n_pieces", count).withColumn("piece", F.explode_outer(numbers))
-    added = F.map_from_arrays(F.array(F.lit(predicate)), F.array("vals"))
-    joined = spread.join(values, ["subject", "piece"], "left")
-    # a piece that got no value by its hash adds no row
-    return joined.filter(F.col("piece").isNull() | F.col("vals").isNotNull()).select(
-        "seed_table",
-        "subject",
-        "copies",
-        F.when(F.col("vals").isNotNull(), F.map_concat("fields", added)).otherwise(F.col("fields")).alias("fields"),
-        "pieces",
-        F.when(F.col("piece").isNotNull(), F.col("part") * F.col("n_pieces") + F.col("piece"))
-        .otherwise(F.col("part"))
-        .alias("part"),
+    plain = rows.filter(F.coalesce(F.size("pieces"), F.lit(0)) == 0)
+    hot = rows.filter(F.size("pieces") > 0).withColumn("__sizes", F.map_values("pieces"))
+    cells = explode_range(
+        hot.withColumn("__strides", _strides(F.col("__sizes"))).drop("part"),
+        F.element_at("__strides", -1), "part", ("seed_table", "subject"),
+    )
+    asked = F.transform(
+        F.map_keys("pieces"),
+        lambda name, j: F.struct(
+            name.alias("predicate"),
+            F.pmod(F.call_function("div", F.col("part"), F.get("__strides", j)), F.get("__sizes", j)).alias("piece"),
+            (j == 0).alias("carries"),
+        ),
     )
+    requests = cells.select("seed_table", "subject", "copies", "fields", "part", F.size("pieces").alias("__needs"), F.inline(asked))
+    requests = requests.withColumn("fields", F.when(F.col("carries"), F.col("fields")))
+    brought = requests.join(values, ["subject", "predicate", "piece"]).groupBy("seed_table", "subject", "copies", "part", "__needs")
+    whole = brought.agg(
+        F.first("fields", ignorenulls=True).alias("fields"), F.map_from_entries(F.collect_list(F.struct("predicate", "vals"))).alias("__values")
+    ).filter(F.size("__values") == F.col("__needs"))
+    full = whole.select("seed_table", "subject", "copies", F.map_concat("fields", "__values").alias("fields"), "part")
+    return plain.select("seed_table", "subject", "copies", "fields", "part").unionByName(full)
 
 
 # -- from subjects to rows ---------------------------------------------------
@@ -277,30 +298,24 @@ def _filled(attrs: Column) -> Column:
 def product_rows(subjects: DataFrame, spread: bool = False) -> DataFrame:
     """Seed rows ``(seed_table, subject, row_key, attrs)``: the row product of the value arrays.
 
-    Row i of a subject takes value ``(i div stride) mod size`` of each predicate, so the
-    product is a numbered range and is never held as a whole. Subjects with ``copies``
-    repeat each row that often, and once for every copy of its values. ``spread`` sends
-    the blocks of a long range to different tasks, for subjects with very many rows.
+    Row i of a subject takes value ``(i div stride) mod size`` of each predicate, a value
+    that repeats as often as it does, so the product is a numbered range and is never held
+    as a whole. ``copies`` of a subject are the last axis of the range. ``spread`` sends the
+    blocks of a long range to different tasks, for subjects with very many rows.
     """
     names = set(subjects.columns)
     copies = F.col("copies") if "copies" in names else F.lit(1).cast("long")
     part = F.col("part") if "part" in names else F.lit(0).cast("long")
-    arrays = F.map_values("fields")
-    one = F.array(F.lit(1).cast("long"))
-    strides = F.aggregate(
-        arrays, one, lambda acc, a: F.concat(acc, F.array(F.element_at(acc, -1) * F.size(a).cast("long")))
+    # bounded: a piece has about PIECE values, repeats included
+    arrays = F.transform(
+        F.map_values("fields"), lambda a: F.flatten(F.transform(a, lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
     )
     numbered = subjects.select(
-        "seed_table",
-        "subject",
-        copies.alias("copies"),
-        part.alias("part"),
-        F.map_keys("fields").alias("names"),
-        arrays.alias("arrays"),
-        strides.alias("strides"),
+        "seed_table", "subject", copies.alias("copies"), part.alias("part"), F.map_keys("fields").alias("names"), arrays.alias("arrays")
     )
+    numbered = numbered.withColumn("strides", _strides(F.transform("arrays", lambda a: F.size(a).cast("long"))))
     keys = ("seed_table", "subject", "part") if spread else ()
-    numbered = explode_range(numbered, F.element_at("strides", -1), "i", keys)
+    rows = explode_range(numbered, F.element_at("strides", -1) * F.col("copies"), "i", keys)
     picked = F.transform(
         "arrays",
         lambda a, j: F.get(
@@ -311,17 +326,11 @@ def product_rows(subjects: DataFrame, spread: bool = False) -> DataFrame:
             ).cast("int"),
         ),
     )
-    rows = numbered.select("seed_table", "subject", "copies", "part", "i", "names", picked.alias("picked"))
-    if "copies" in names:
-        weight = F.aggregate("picked", F.col("copies"), lambda acc, x: acc * x["n"])
-        rows = explode_range(rows, weight, "copy")
-    else:
-        rows = rows.withColumn("copy", F.lit(0).cast("long"))
     return rows.select(
         "seed_table",
         "subject",
-        F.xxhash64("seed_table", "subject", "part", "i", "copy").alias("row_key"),
-        _filled(F.map_from_arrays("names", F.transform("picked", lambda x: x["v"]))).alias("attrs"),
+        F.xxhash64("seed_table", "subject", "part", "i").alias("row_key"),
+        _filled(F.map_from_arrays("names", picked)).alias("attrs"),
     )
 
 

@@ -90,6 +90,37 @@ def test_spread_rows_are_the_same(spark, facts_of, members, monkeypatch):
     assert sum(r["n_rows"] for r in sizes) == sum(want.values()) and {r["largest"] for r in sizes} == {1200}
 
 
+def test_repeats_are_an_axis_like_any_other(spark, facts_of, monkeypatch):
+    """A triple and a member that repeat very often, next to another large pair: pieces for several tasks."""
+    monkeypatch.setattr(values, "RANGE_STEP", 100)
+    facts = [("a", "p", "same")] * 700 + [("a", "q", str(i)) for i in range(5)] + [("a", "r", "x"), ("a", "r", None)]
+    members = spark.createDataFrame([("T", "a")] * 3, "type string, subject string")
+    chosen = spark.createDataFrame([("T", PREDICATES)], "type string, predicates array<string>")
+    subjects = widen.capped_subjects(facts_of(facts), members, chosen, 3)
+    assert subjects.count() == 234 * 2  # pieces of both pairs
+    assert subjects.select(F.max(F.aggregate(F.col("fields")["p"], F.lit(0).cast("long"), lambda a, x: a + x["n"]))).first()[0] <= 3
+    for spread in (False, True):
+        rows = widen.product_rows(subjects, spread)
+        assert rows_of(rows, PREDICATES) == Counter({("T", "a", "same", str(i), r): 2100 for i in range(5) for r in ("x", None)})
+        assert rows.select("row_key").distinct().count() == 21_000
+
+
+def test_exchanges_do_not_follow_the_hot_predicates(spark, facts_of):
+    """The plan has as many exchanges with one large predicate as with six."""
+
+    def exchanges(n):
+        names = [f"p{i}" for i in range(n)]
+        facts = [("a", p, str(i)) for p in names for i in range(4)] + [("a", "z", "1"), ("b", "z", "2")]
+        members = spark.createDataFrame([("T", "a"), ("T", "b")], "type string, subject string")
+        chosen = spark.createDataFrame([("T", [*names, "z"])], "type string, predicates array<string>")
+        subjects = widen.capped_subjects(facts_of(facts), members, chosen, 3)
+        assert subjects.count() == 2**n + 1
+        plan = subjects._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange ")
+
+    assert exchanges(1) == exchanges(6)
+
+
 def test_full_rows(spark, facts_of, members):
     subjects = widen.long_subjects(facts_of(FACTS), members, 2)
     got = {r["subject"]: r["attrs"] for r in widen.full_rows(subjects, 2).filter("seed_table = 'T'").collect()}
