@@ -120,28 +120,34 @@ def _passes(equal: Column, length: Column) -> Column:
     return (equal >= MIN_EQUAL) & (100 * equal >= MIN_PERCENT * length)
 
 
-def _best_part() -> Column:
-    """The part of a stretch with most equal words that passes, with the seed's words in it; null if none does."""
+def _part(equal: Column, ahead: Column, behind: Column) -> Column:
+    """A part with so many equal words that begins and ends so many words from the seed's."""
+    return F.struct(equal.alias("equal"), (-(ahead + SPAN + behind)).alias("short"), (ahead - F.col("doc_at")).alias("early"))
+
 
-    def equal(start, n):
-        return F.aggregate(F.slice("same", start, n), F.lit(0), lambda a, e: a + e)
+def _best_part() -> Column:
+    """The part of a stretch with most equal words that passes, with the seed's words in it; null if none does.
 
-    core = equal(F.col("left") + 1, F.lit(SPAN))
-    ahead = F.transform(F.sequence(F.lit(0), "left"), lambda i: F.struct(i.alias("n"), equal(F.col("left") - i + 1, i).alias("equal")))
-    behind = F.transform(
-        F.sequence(F.lit(0), "right"), lambda j: F.struct((j + SPAN).alias("n"), (core + equal(F.col("left") + SPAN + 1, j)).alias("equal"))
+    Where all equal words together pass, they are the best part. Else every beginning is met
+    with every end.
+    """
+    before, after = F.slice("same", F.lit(1), F.col("left")), F.slice("same", F.col("left") + SPAN + 1, F.col("right"))
+    first, last = F.array_position(before, 1).cast("int"), F.array_position(F.reverse(after), 1).cast("int")
+    ahead = F.when(first > 0, F.col("left") - first + 1).otherwise(0)
+    behind = F.when(last > 0, F.col("right") - last + 1).otherwise(0)
+    equal = F.size(F.array_remove("same", 0))
+
+    def ones(start, n):
+        return F.size(F.array_remove(F.slice("same", start, n), 0))
+
+    core = ones(F.col("left") + 1, F.lit(SPAN))
+    starts = F.transform(F.sequence(F.lit(0), "left"), lambda i: F.struct(i.alias("n"), ones(F.col("left") - i + 1, i).alias("equal")))
+    ends = F.transform(
+        F.sequence(F.lit(0), "right"), lambda j: F.struct(j.alias("n"), (core + ones(F.col("left") + SPAN + 1, j)).alias("equal"))
     )
-    parts = F.transform(
-        ahead,
-        lambda x: F.transform(
-            behind,
-            lambda y: F.struct(
-                (x["equal"] + y["equal"]).alias("equal"), (-x["n"] - y["n"]).alias("short"),
-                (x["n"] - F.col("doc_at")).alias("early"),
-            ),
-        ),
-    )
-    return F.array_max(F.filter(F.flatten(parts), lambda p: _passes(p["equal"], -p["short"])))
+    parts = F.flatten(F.transform(starts, lambda x: F.transform(ends, lambda y: _part(x["equal"] + y["equal"], x["n"], y["n"]))))
+    searched = F.array_max(F.filter(parts, lambda p: _passes(p["equal"], -p["short"])))
+    return F.when(_passes(equal, ahead + SPAN + behind), _part(equal, ahead, behind)).otherwise(searched)
 
 
 def skipped_items(benchmark: DataFrame) -> DataFrame:
