@@ -289,6 +289,13 @@ def base_manifest(seeds: list[str], source: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+def text_cell(column: str) -> str:
+    """A column as it reads after an export: numbers as such."""
+    return f"CAST(CAST({column} AS DOUBLE) AS VARCHAR)" if column in NUMERIC else column
+
+
+# of the seed tables of TOP_3; the combinations are called by what follows the second part
+FOLDERS = ["wordnet_order", "wordnet_order_2", "wordnet_part"]
 TOP_3 = [ORDER, "<wordnet_order_100000013>", PART]
 
 RSH_9 = ["hasStatus", "hasPriority", "containsPart", "livesIn", "hasMarketSegment", "hasBrand", "hasPartType", "placedOrder"]
@@ -308,6 +315,14 @@ def rsh_9() -> str:
     return " UNION ALL ".join(parts)
 
 
+def all_capped(source: str) -> str:
+    """All types with the prefix, all their predicates, as text."""
+    return " UNION ALL ".join(
+        f"SELECT '{s}' AS seed_table, subject, {cells(names_of(s))} AS cells FROM ({capped_chain(s, names_of(s), source=source)})"
+        for s in SEEDS
+    )
+
+
 ENTITY_PREDICATES = ["containsPart", "hasBrand", "hasMarketSegment", "hasPartType", "hasPriority", "hasStatus", "isLocatedIn",
                      "livesIn", "placedOrder"]
 
@@ -321,11 +336,19 @@ ORACLE: dict[str, str] = {
     "src_6": f"SELECT * REPLACE ({AWKWARD.format('c_name')} AS c_name) FROM customer",
     "src_7": f"""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, {AWKWARD.format('p_name')} AS p_name, p_brand, p_type,
         CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
-    "src_8": kg("SELECT subject, cat_object AS hasBrand FROM facts WHERE predicate = '<hasBrand>'"),
-    "src_9": kg("""SELECT DISTINCT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS \"table\" FROM facts
-        WHERE predicate IN ('<hasStatus>', '<hasBrand>', '<livesIn>')"""),
+    "src_8": kg("SELECT replace(replace(predicate, '<', ''), '>', '') AS predicate, subject, cat_object AS value FROM kg_facts"),
+    "src_9": kg("""SELECT DISTINCT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS \"table\" FROM kg_facts"""),
     "src_10": kg("""SELECT 'wordnet_full-' || replace(replace(seed_table, '<', ''), '>', '') AS "table", cols AS arity, n_num, c_num
         FROM stats WHERE cols > 8""", RANKED, FULL_COLUMNS, STATS),
+    "src_12": " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", row_index, "column", value FROM
+        (SELECT row_number() OVER () - 1 AS row_index, COLUMNS(*)::VARCHAR FROM (SELECT {columns} FROM {t} LIMIT 5))
+        UNPIVOT INCLUDE NULLS (value FOR "column" IN (COLUMNS(* EXCLUDE (row_index))))"""
+        for t, columns in [(t, "*") for t in (
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark",
+            "labels", "conversations")]
+        + [("embeddings", "* REPLACE (list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS embedding)")]
+    ),
     "snk_1": kg(f"SELECT subject AS wordnet_part_100000005, * EXCLUDE (subject) FROM ({long_chain(PART, typed=True)})", RANKED),
     "snk_2": kg(f"SELECT subject AS wordnet_part_100000005, * EXCLUDE (subject) FROM ({long_chain(PART, typed=True)})", RANKED),
     "snk_4": kg(SUBTABLES, RANKED),
@@ -360,7 +383,7 @@ ORACLE: dict[str, str] = {
     "join_2": kg("""SELECT f.subject, f.predicate, f.cat_object, t.cat_object AS cat_object_right FROM facts f
         JOIN kg_types t USING (subject) JOIN top ON top.type = t.cat_object""", top_types(3, "<wordnet_")),
     "join_3": kg("SELECT type, subject FROM wn WHERE type IN (SELECT type FROM top)", top_types(2, "<wordnet_")),
-    "join_4": kg(capped_chain(CUSTOMER, ["placedOrder", "livesIn", "hasAccountBalance"])),
+    "join_4": kg(all_capped("facts")),
     "join_5": kg("SELECT subject, predicate, cat_object, type FROM facts JOIN wn USING (subject)"),
     "join_6": kg("""SELECT l.cat_object, r.cat_object AS cat_object_right, count(*) AS count FROM own l JOIN own r USING (subject)
         GROUP BY ALL""", top_types(5), "own AS (SELECT DISTINCT subject, cat_object FROM kg_types WHERE cat_object IN (SELECT type FROM top))"),
@@ -409,7 +432,7 @@ ORACLE: dict[str, str] = {
         FROM gaps""", ORDERS_WITH_GAPS),
     "agg_18": " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS null_count,
-        {f'round(avg({c}), 4)' if num else 'CAST(NULL AS DOUBLE)'} AS mean, {f'round(stddev_samp({c}), 4)' if num else 'NULL'} AS std,
+        {f'round(avg({c}), 6)' if num else 'CAST(NULL AS DOUBLE)'} AS mean, {f'round(stddev_samp({c}), 6)' if num else 'NULL'} AS std,
         CAST(min({c}) AS VARCHAR) AS min, """
         + ", ".join(
             (f"CAST(quantile_disc({c}, {q}) AS DOUBLE)" if num else "NULL") + f" AS {n}"
@@ -418,7 +441,7 @@ ORACLE: dict[str, str] = {
         + f", CAST(max({c}) AS VARCHAR) AS max FROM lineitem"
         for c, num in (("l_orderkey", True), ("l_partkey", True), ("l_suppkey", True), ("l_linenumber", True),
                        ("l_quantity", True), ("l_extendedprice", True), ("l_discount", True), ("l_tax", True),
-                       ("l_returnflag", False), ("l_linestatus", False))
+                       ("l_returnflag", False), ("l_linestatus", False), ("l_shipdate", False))
     ),
     "agg_19": kg("SELECT DISTINCT type AS cat_object FROM wn"),
     "agg_20": kg("SELECT count(DISTINCT type) AS n_groups FROM wn"),
@@ -441,7 +464,7 @@ ORACLE: dict[str, str] = {
     "win_2": kg("""SELECT f.subject, f.predicate, f.cat_object, t.cat_object AS cat_object_right FROM facts f
         JOIN kg_types t USING (subject) WHERE t.cat_object IN (SELECT type FROM representative WHERE count > 10)""", REPRESENTATIVE),
     "win_3": kg("""SELECT subject, predicate, cat_object, CAST(rn AS INTEGER) AS rank FROM (SELECT *, row_number() OVER
-        (PARTITION BY subject ORDER BY cat_object) AS rn FROM kg_facts WHERE predicate = '<placedOrder>') WHERE rn <= 3"""),
+        (PARTITION BY subject, predicate ORDER BY cat_object NULLS LAST) AS rn FROM facts) WHERE rn <= 3"""),
     "win_4": kg("""SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS code
         FROM (SELECT DISTINCT predicate AS label FROM facts)"""),
     "win_5": kg("""SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS code
@@ -479,26 +502,31 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE l_quantity >= 25) AS c FROM lineitem GROUP BY 1""",
     "dat_1": kg("""SELECT subject, strftime(d, '%Y-%m-%d') AS day, d > DATE '1997-06-30' AS late FROM (
         SELECT subject, CAST(try_strptime(split_part(cat_object, '^^', 1), '%Y-%m-%d') AS DATE) AS d FROM kg_date_facts)"""),
-    "arr_1": kg("""SELECT subject, string_agg(cat_object, ',' ORDER BY rn) AS first_two FROM (SELECT *, row_number() OVER
-        (PARTITION BY subject ORDER BY cat_object) AS rn FROM kg_facts WHERE predicate = '<placedOrder>') WHERE rn <= 2 GROUP BY 1"""),
-    "arr_2": kg("""SELECT subject, max(CASE WHEN rn = 1 THEN cat_object END) AS "placedOrder_0",
-        max(CASE WHEN rn = 2 THEN cat_object END) AS "placedOrder_1", max(CASE WHEN rn = 3 THEN cat_object END) AS "placedOrder_2"
-        FROM (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY cat_object) AS rn FROM kg_facts
-        WHERE predicate = '<placedOrder>') GROUP BY 1"""),
+    "arr_1": kg("""SELECT subject, predicate, string_agg(cat_object, ',' ORDER BY rn) AS first_two FROM (SELECT *, row_number() OVER
+        (PARTITION BY subject, predicate ORDER BY cat_object) AS rn FROM kg_facts) WHERE rn <= 2 GROUP BY 1, 2"""),
+    "arr_2": kg("""SELECT subject, predicate, max(CASE WHEN rn = 1 THEN cat_object END) AS value_0,
+        max(CASE WHEN rn = 2 THEN cat_object END) AS value_1, max(CASE WHEN rn = 3 THEN cat_object END) AS value_2
+        FROM (SELECT *, row_number() OVER (PARTITION BY subject, predicate ORDER BY cat_object) AS rn FROM kg_facts)
+        GROUP BY 1, 2"""),
     "cst_1": kg(f"""SELECT subject, predicate, cat_object, CASE WHEN regexp_matches(cat_object, {NUMBER}) THEN TRY_CAST(cat_object AS DOUBLE) END
         AS number FROM literals"""),
     "rsh_1": kg("SELECT subject, cat_object AS placedOrder FROM facts WHERE predicate = '<placedOrder>'"),
     "rsh_2": kg("SELECT type, subject FROM wn WHERE type IN (SELECT type FROM top)", top_types(3, "<wordnet_")),
     "rsh_3": kg(f"""SELECT '{CUSTOMER}' AS type, * REPLACE (CAST(hasAccountBalance AS DOUBLE) AS hasAccountBalance)
         FROM ({capped_chain(CUSTOMER, names_of(CUSTOMER))})"""),
+    "rsh_3_types": kg(all_capped("sparse")),
     "rsh_3_width_4": kg(f"""SELECT '{CUSTOMER}' AS type, * REPLACE (CAST(hasAccountBalance AS DOUBLE) AS hasAccountBalance)
         FROM ({capped_chain(CUSTOMER, ["hasAccountBalance", "hasMarketSegment"])})"""),
     "rsh_4": kg(f"SELECT subject AS wordnet_order_100000003, * EXCLUDE (subject) FROM ({long_chain(ORDER, typed=True)})",
         RANKED.replace("FROM sparse", "FROM facts")),
+    "rsh_4_types": kg(" UNION ALL ".join(
+        f"SELECT '{s}' AS seed_table, subject, {cells(names_of(s))} AS cells FROM ({long_chain(s)})" for s in SEEDS), RANKED),
     "rsh_4_part": kg(f"SELECT subject AS wordnet_part_100000005, * EXCLUDE (subject) FROM ({long_chain(PART, typed=True)})", RANKED),
     "rsh_5": kg(f"""SELECT subject AS wordnet_order_100000003, * EXCLUDE (subject) REPLACE (
         {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ['hasPriority_1', 'hasStatus_1', 'hasTotalPrice_0', 'hasTotalPrice_1', 'wasCreatedOnDate_1'])})
         FROM ({full_chain(ORDER)})""", RANKED),
+    "rsh_5_types": kg(" UNION ALL ".join(
+        f"SELECT '{s}' AS seed_table, subject, {cells(full_names(s))} AS cells FROM ({full_chain(s)})" for s in SEEDS), RANKED),
     "rsh_6": kg("""SELECT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS "table", f.subject, f.cat_object AS value
         FROM facts f JOIN wn USING (subject) WHERE type IN (SELECT type FROM top)""", top_types(3, "<wordnet_")),
     "rsh_7": kg(f"""SELECT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS "table", subject,
@@ -570,6 +598,12 @@ ORACLE: dict[str, str] = {
     "job_1_explode": kg(distinct_combinations(
         [(s, "", names_of(s), f"base_{i}") for i, s in enumerate(TOP_3)], (2,), 10
     ), *[f"base_{i} AS MATERIALIZED ({capped_chain(s, names_of(s), source='sparse')})" for i, s in enumerate(TOP_3)]),
+    "job_1_files": kg(" UNION ALL ".join(
+        f"""SELECT 'wordnet-{FOLDERS[i]}' AS folder, '{FOLDERS[i][14:]}_{a}_{b}' AS "table", '{s}' AS type, subject, {cells([text_cell(a), text_cell(b)])} AS cells
+        FROM (SELECT DISTINCT subject, {a}, {b} FROM base_{i} WHERE {a} IS NOT NULL OR {b} IS NOT NULL)
+        WHERE (SELECT count(*) FROM (SELECT DISTINCT subject, {a}, {b} FROM base_{i} WHERE {a} IS NOT NULL OR {b} IS NOT NULL)) > 10"""
+        for i, s in enumerate(TOP_3) for a, b in combinations(names_of(s), 2)
+    ), *[f"base_{i} AS MATERIALIZED ({capped_chain(s, names_of(s), source='sparse')})" for i, s in enumerate(TOP_3)]),
     "job_2": kg("""SELECT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS "table", count(*) AS n_rows
         FROM facts JOIN wn USING (subject) WHERE type IN (SELECT type FROM top) GROUP BY 1""", top_types(3, "<wordnet_")),
     "job_3": kg(" UNION ALL ".join(

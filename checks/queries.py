@@ -189,21 +189,27 @@ def src_7(kg):
 
 
 def _binary_lake(kg) -> str:
-    """A small lake on disk, one table per entity predicate."""
+    """A lake on disk, one table per entity predicate."""
     root = fresh_folder(kg.spark, "lake")
-    for predicate in ("<hasStatus>", "<hasBrand>", "<livesIn>"):
-        sinks.write_table(kg.binary(predicate), root, "binary", text_of(predicate))
+    kg.spark.range(0).write.parquet(f"{root}/_made")
+    sinks.write_binary_tables(widen.binary_rows(kg.entity), root)
     return root
 
 
 @query
 def src_8(kg):
-    return tables.read_table(kg.spark, f"{_binary_lake(kg)}/binary-hasBrand.parquet")
+    root = _binary_lake(kg)
+    names = sorted(r["table"] for r in tables.lake_tables(kg.spark, root).filter(~F.col("table").startswith("_")).collect())
+    parts = [
+        tables.read_table(kg.spark, f"{root}/{n}.parquet").toDF("subject", "value").withColumn("predicate", F.lit(n.removeprefix("binary-")))
+        for n in names
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def src_9(kg):
-    return tables.lake_tables(kg.spark, _binary_lake(kg)).select("table")
+    return tables.lake_tables(kg.spark, _binary_lake(kg)).filter(~F.col("table").startswith("_")).select("table")
 
 
 @query
@@ -221,7 +227,8 @@ def src_11(kg):
 
 @query
 def src_12(kg):
-    return tables.browse(kg.spark, kg.folder)
+    first = tables.browse(kg.spark, kg.folder)
+    return first.select("table", "row_index", F.explode("cells").alias("column", "value"))
 
 
 # -- sinks -----------------------------------------------------------------------
@@ -401,14 +408,22 @@ def join_3(kg):
     return selection.members(kg.types, selection.first_types(selection.top_types(kg.types, 5), 2))
 
 
+def _all_capped(kg, facts: DataFrame) -> DataFrame:
+    """Seed rows of every type with the prefix, all its predicates, as text in the order of their names."""
+    types = kg.types.filter(F.col("cat_object").startswith("<wordnet_"))
+    chosen = pinned(widen.chosen_predicates(selection.type_predicate_counts(facts, types)))
+    rows = kg.staged(widen.capped_rows(facts, types.select(F.col("cat_object").alias("type"), "subject"), chosen))
+    return _in_name_order(rows, chosen.select(F.col("type").alias("seed_table"), F.array_sort("predicates").alias("columns")))
+
+
+def _in_name_order(rows: DataFrame, columns: DataFrame) -> DataFrame:
+    cells = F.transform("columns", lambda c: F.col("attrs")[c])
+    return rows.join(columns, "seed_table").select("seed_table", "subject", cells_text(cells).alias("cells"))
+
+
 @query
 def join_4(kg):
-    chosen = kg.spark.createDataFrame(
-        [(CUSTOMER, ["<placedOrder>", "<livesIn>", "<hasAccountBalance>"])], "type string, predicates array<string>"
-    )
-    rows = widen.capped_rows(kg.facts, kg.members_of(CUSTOMER), chosen)
-    return rows.select("subject", *[F.col("attrs")[p].alias(text_of(p)) for p in
-                                    ("<placedOrder>", "<livesIn>", "<hasAccountBalance>")])
+    return _all_capped(kg, kg.facts)
 
 
 @query
@@ -609,8 +624,8 @@ def agg_17(kg):
 
 @query
 def agg_18(kg):
-    described = profiling.describe(kg.table("lineitem").drop("l_shipdate"))
-    return described.withColumn("mean", F.round("mean", 4)).withColumn("std", F.round("std", 4))
+    described = profiling.describe(kg.table("lineitem"))
+    return described.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
 
 
 @query
@@ -706,7 +721,7 @@ def win_2(kg):
 
 @query
 def win_3(kg):
-    return widen.first_values(kg.entity.filter(F.col("predicate") == "<placedOrder>"), 3)
+    return widen.first_values(kg.facts, 3)
 
 
 @query
@@ -851,18 +866,19 @@ def dat_1(kg):
 
 
 def _lists(kg) -> DataFrame:
-    fields = widen.limited_fields(kg.entity.filter(F.col("predicate") == "<placedOrder>"), 3)
-    return fields.select("subject", F.transform(F.col("fields")["<placedOrder>"], lambda x: x["v"]).alias("a"))
+    """The first three values of every subject and predicate as an array."""
+    fields = widen.limited_fields(kg.entity, 3).select("subject", F.explode("fields").alias("predicate", "vals"))
+    return fields.select("subject", "predicate", F.col("vals.v").alias("a"))
 
 
 @query
 def arr_1(kg):
-    return _lists(kg).select("subject", F.array_join(values.head("a", 2), ",").alias("first_two"))
+    return _lists(kg).select("subject", "predicate", F.array_join(values.head("a", 2), ",").alias("first_two"))
 
 
 @query
 def arr_2(kg):
-    return _lists(kg).select("subject", *values.spread("a", "placedOrder", 3))
+    return _lists(kg).select("subject", "predicate", *values.spread("a", "value", 3))
 
 
 @query
@@ -896,6 +912,11 @@ def rsh_3(kg):
     return kg.capped_wide(CUSTOMER)
 
 
+@query
+def rsh_3_types(kg):
+    return _all_capped(kg, kg.sparse)
+
+
 @query
 def rsh_3_width_4(kg):
     return kg.capped_wide(CUSTOMER, 4)
@@ -906,6 +927,12 @@ def rsh_4(kg):
     return kg.long_wide(ORDER)
 
 
+@query
+def rsh_4_types(kg):
+    rows = kg.staged(widen.product_rows(kg.long_subjects))
+    return _in_name_order(rows, jobs.columns_by_table(widen.subject_columns(kg.long_subjects)))
+
+
 @query
 def rsh_4_part(kg):
     return kg.long_wide(PART)
@@ -918,6 +945,11 @@ def rsh_5(kg):
     return widen.wide_table(widen.full_rows(subjects), ORDER, columns, text_of(ORDER))
 
 
+@query
+def rsh_5_types(kg):
+    return _in_name_order(kg.full_rows, jobs.columns_by_table(kg.full_columns))
+
+
 @query
 def rsh_6(kg):
     selected = selection.facts_of_types(kg.facts, kg.types, selection.top_types(kg.types, 3))
@@ -1174,6 +1206,20 @@ def job_1_explode(kg):
     return kg.spark.read.parquet(f"{dest}/{jobs.SUBTABLES}").select("seed_table", _named("cols"), "n_rows")
 
 
+@query
+def job_1_files(kg):
+    """Every exported combination table, read back."""
+    dest = fresh_folder(kg.spark, "lake")
+    jobs.build_base_lake(kg.sparse, kg.types, dest, top_k=3, explode_tables=True)
+    rows = tables.lake_rows(kg.spark, dest, hidden=True)  # some names start with an underscore
+    folder = F.regexp_extract("location", r"/(wordnet-[^/]+)/[^/]+\.parquet$", 1)
+    columns = F.array_remove(F.array_remove(F.array_sort(F.map_keys("cells")), "subject"), "type")
+    return rows.withColumn("folder", folder).filter("folder <> ''").select(
+        "folder", "table", F.col("cells")["type"].alias("type"), F.col("cells")["subject"].alias("subject"),
+        cells_text(F.transform(columns, lambda c: F.col("cells")[c])).alias("cells"),
+    )
+
+
 @query
 def job_2(kg):
     dest = fresh_folder(kg.spark, "lake")

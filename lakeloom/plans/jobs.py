@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import clean_name, lake_table_name, strip_brackets
-from lakeloom.functions.values import RANGE_STEP, to_number
+from lakeloom.functions.values import RANGE_STEP
 from lakeloom.operators import combine, selection, subtables, widen
 from lakeloom.session import fresh_folder, pinned
-from lakeloom.sources.sinks import check_format, in_parallel, write_binary_tables, write_partitioned, write_table
+from lakeloom.sources.many_tables import check_format, layout_of, write_tables
+from lakeloom.sources.sinks import write_binary_tables, write_partitioned
 from lakeloom.sources.tables import file_stats
 from lakeloom.sources.triples import wordnet_subjects
 
@@ -118,36 +119,47 @@ def seed_manifest(rows: DataFrame, columns: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def seed_layouts(spark: SparkSession, dest: str, tag: str, kind: str) -> DataFrame:
+    """``(seed_table, table, columns, layout)`` of the export of every seed table; ``columns`` are its attributes."""
+    columns = spark.read.parquet(f"{dest}/{SEED_COLUMNS}")
+    clean = strip_brackets("column") if kind == "wordnet" else clean_name("column")
+    listed = columns.groupBy("seed_table").agg(
+        F.array_sort(F.collect_list(F.struct("column", clean.alias("name"), "is_numeric"))).alias("listed")
+    )
+    tables = spark.read.parquet(f"{dest}/{MANIFEST}").select("seed_table", "name").join(listed, "seed_table", "left")
+    keys = F.array(F.lit("type"), F.lit("subject")) if kind == "wordnet" else F.array("name")
+    some = F.coalesce("listed", F.array().cast(listed.schema["listed"].dataType))
+    return pinned(
+        tables.select(
+            "seed_table",
+            F.concat(F.lit(f"{tag}-"), "name").alias("table"),
+            some["column"].alias("columns"),
+            layout_of(F.concat(keys, some["name"]), F.concat(F.transform(keys, lambda _: F.lit(False)), some["is_numeric"])).alias("layout"),
+        )
+    )
+
+
 def export_seeds(
-    spark: SparkSession,
-    dest: str,
-    tag: str,
-    kind: str,
-    output_format: str = "parquet",
-    only: Sequence[str] | None = None,
-    parallel: int = 8,
+    spark: SparkSession, dest: str, tag: str, kind: str, output_format: str = "parquet", only: Sequence[str] | None = None
 ) -> list[str]:
-    """Write seed tables with real columns, ``{tag}-{name}.{format}``, a few at a time.
-
-    Each reads only its own folder of the seed rows.
-    """
+    """Write seed tables with real columns, ``{tag}-{name}.{format}``, all in one job."""
     check_format(output_format)
     rows = spark.read.schema(SEED_SCHEMA).parquet(f"{dest}/{SEED_ROWS}")
-    columns = spark.read.parquet(f"{dest}/{SEED_COLUMNS}")
-    tables = spark.read.parquet(f"{dest}/{MANIFEST}").select("seed_table", "name").collect()
-    clean = strip_brackets("column") if kind == "wordnet" else clean_name("column")
-    listed: dict[str, list] = {t["seed_table"]: [] for t in tables}
-    for c in columns.select("seed_table", "column", clean.alias("name"), "is_numeric").collect():
-        listed[c["seed_table"]].append((c["column"], c["name"], c["is_numeric"]))
-
-    def export(table) -> str:
-        key = "subject" if kind == "wordnet" else table["name"]
-        wide = widen.wide_table(
-            rows, table["seed_table"], sorted(listed[table["seed_table"]]), key, with_type=kind == "wordnet"
-        )
-        return write_table(wide, dest, tag, table["name"], output_format)
+    layouts = seed_layouts(spark, dest, tag, kind)
+    if only is not None:
+        layouts = layouts.filter(F.col("seed_table").isin(list(only)))
+    keys = F.array("seed_table", "subject") if kind == "wordnet" else F.array("subject")
+    attrs = F.col("attrs")
+    filled = rows.join(layouts, "seed_table").select(
+        "table", "layout", F.concat(keys, F.transform("columns", lambda c: attrs[c])).alias("cells")
+    )
+    write_tables(filled.unionByName(_bare(layouts)), dest, output_format)
+    return sorted(f"{dest}/{r['table']}.{output_format}" for r in layouts.select("table").collect())
 
-    return in_parallel(export, [t for t in tables if only is None or t["seed_table"] in only], parallel)
+
+def _bare(layouts: DataFrame) -> DataFrame:
+    """A row without cells for each table, so that it is there even if it has no rows."""
+    return layouts.select("table", "layout", F.lit(None).cast("array<string>").alias("cells"))
 
 
 # -- jobs ------------------------------------------------------------------------
@@ -185,6 +197,8 @@ def build_base_lake(
         export_seeds(spark, dest, strategy, "wordnet", output_format)
     if explode_tables:
         build_combinations(spark, dest, comb_sizes, min_count, null_policy)
+        if export:
+            export_combinations(spark, dest, output_format)
     return spark.read.parquet(f"{dest}/{MANIFEST}")
 
 
@@ -208,6 +222,43 @@ def build_combinations(
     return spark.read.parquet(f"{dest}/{SUBTABLES}")
 
 
+def spec_layouts(specs: DataFrame, columns: DataFrame, name: Column, keys: Sequence[str]) -> DataFrame:
+    """Specs plus ``layout``: ``keys`` as text, then the columns of ``cols``, called ``name`` and typed as in the seed table."""
+    flags = columns.select("seed_table", "column", name.alias("__name"), "is_numeric")
+    placed = specs.withColumn("__spec", F.monotonically_increasing_id())
+    placed = pinned(placed)
+    listed = (
+        placed.select("__spec", "seed_table", F.posexplode("cols").alias("place", "column"))
+        .join(flags, ["seed_table", "column"])
+        .groupBy("__spec")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "__name", "is_numeric"))).alias("listed"))
+    )
+    fixed = F.array(*[F.col(k[1:]) if k.startswith("=") else F.lit(k) for k in keys])
+    texts = F.transform(fixed, lambda _: F.lit(False))
+    layout = layout_of(F.concat(fixed, F.col("listed.__name")), F.concat(texts, F.col("listed.is_numeric")))
+    return placed.join(listed, "__spec").withColumn("layout", layout).drop("__spec", "listed")
+
+
+def export_combinations(spark: SparkSession, dest: str, output_format: str = "parquet") -> list[str]:
+    """Write the combination tables of a lake with real columns, all in one job.
+
+    They lie in a folder per seed table, ``wordnet-{seed}/{name}.{format}``, and have the
+    type, the subject and the columns of the combination.
+    """
+    check_format(output_format)
+    columns = spark.read.parquet(f"{dest}/{SEED_COLUMNS}")
+    names = spark.read.parquet(f"{dest}/{MANIFEST}").select("seed_table", F.col("name").alias("seed_name"))
+    specs = spark.read.parquet(f"{dest}/{SUBTABLES}").join(names, "seed_table")
+    layouts = spec_layouts(specs, columns, strip_brackets("column"), ("type", "subject"))
+    table = F.concat(F.lit("wordnet-"), "seed_name", F.lit("/"), "name")
+    layouts = pinned(layouts.select("seed_table", "subtable_id", table.alias("table"), "layout"))
+    rows = spark.read.parquet(f"{dest}/{SUBTABLE_ROWS}").join(layouts, ["seed_table", "subtable_id"])
+    write_tables(
+        rows.select("table", "layout", F.concat(F.array("seed_table", "subject"), "cells").alias("cells")), dest, output_format
+    )
+    return sorted(f"{dest}/{r['table']}.{output_format}" for r in layouts.select("table").collect())
+
+
 def columns_by_table(columns: DataFrame) -> DataFrame:
     """``(seed_table, columns)``: sorted column names of each table."""
     return columns.groupBy("seed_table").agg(F.array_sort(F.collect_list("column")).alias("columns"))
@@ -231,8 +282,7 @@ def build_all_binary(facts: DataFrame, dest: str) -> DataFrame:
     Returns the manifest ``(table, n_rows)``.
     """
     rows = widen.binary_rows(facts)
-    verdicts = widen.numeric_predicates(rows, ["table"], "value").collect()
-    write_binary_tables(rows, dest, {r["table"]: r["is_numeric"] for r in verdicts})
+    write_binary_tables(rows, dest, pinned(widen.numeric_predicates(rows, ["table"], "value")))
     return file_stats(facts.sparkSession, dest).select("table", F.col("rows").alias("n_rows"))
 
 
@@ -323,42 +373,17 @@ def number_of_subtables(manifest: DataFrame) -> DataFrame:
     return manifest.agg(F.count("*").alias("total_generated"))
 
 
-def export_subtable(
-    lake_rows: DataFrame,
-    columns: Sequence[tuple[str, bool]],
-    key: str = "subject",
-) -> DataFrame:
-    """Rows of one subtable with real columns; ``columns`` lists (name, numeric) in spec order."""
-    cells = [
-        (to_number(F.get("cells", F.lit(i))) if numeric else F.get("cells", F.lit(i))).alias(name)
-        for i, (name, numeric) in enumerate(columns)
-    ]
-    return lake_rows.select(F.col("subject").alias(key), *cells)
-
-
-def export_subtables(spark: SparkSession, source: str, dest: str, only: DataFrame | None = None, parallel: int = 8) -> list[str]:
-    """Write chosen subtables (default all) as ``{seed}/{seed}-{id}[-{replica}]-{case}.parquet``."""
-    names = {r["seed_table"]: r["name"] for r in spark.read.parquet(f"{source}/{MANIFEST}").collect()}
-    flags = {
-        (r["seed_table"], r["column"]): (r["name"], r["is_numeric"])
-        for r in spark.read.parquet(f"{source}/{SEED_COLUMNS}")
-        .withColumn("name", clean_name("column"))
-        .collect()
-    }
-    rows = spark.read.parquet(f"{dest}/{SUBTABLE_ROWS}")
-    chosen = spark.read.parquet(f"{dest}/{SUBTABLES}") if only is None else only
-
-    def export(t) -> str:
-        name = names[t["seed_table"]]
-        pieces = [name, str(t["subtable_id"])] + ([str(t["replica"] - 1)] if t["replica"] else [])
-        pieces.append("" if t["case"] == "all" else t["case"])
-        one = rows.filter(
-            (F.col("seed_table") == t["seed_table"])
-            & (F.col("case") == t["case"])
-            & (F.col("subtable_id") == t["subtable_id"])
-            & (F.col("replica") == t["replica"])
-        )
-        wide = export_subtable(one, [flags[(t["seed_table"], c)] for c in t["cols"]], name)
-        return write_table(wide, f"{dest}/{name}", "", "-".join(pieces))
-
-    return in_parallel(export, chosen.collect(), parallel)
+def export_subtables(spark: SparkSession, source: str, dest: str, only: DataFrame | None = None) -> list[str]:
+    """Write chosen subtables (default all) as ``{seed}/{seed}-{id}[-{replica}]-{case}.parquet``, all in one job."""
+    names = spark.read.parquet(f"{source}/{MANIFEST}").select("seed_table", "name")
+    columns = spark.read.parquet(f"{source}/{SEED_COLUMNS}")
+    chosen = (spark.read.parquet(f"{dest}/{SUBTABLES}") if only is None else only).join(names, "seed_table")
+    layouts = spec_layouts(chosen, columns, clean_name("column"), ("=name",))
+    number = F.when(F.col("replica") > 0, F.concat(F.lit("-"), (F.col("replica") - 1).cast("string"))).otherwise("")
+    case = F.when(F.col("case") == "all", "").otherwise(F.col("case"))
+    table = F.concat("name", F.lit("/"), "name", F.lit("-"), F.col("subtable_id").cast("string"), number, F.lit("-"), case)
+    layouts = pinned(layouts.select(*subtables.KEYS, table.alias("table"), "layout"))
+    rows = spark.read.parquet(f"{dest}/{SUBTABLE_ROWS}").join(layouts, subtables.KEYS)
+    filled = rows.select("table", "layout", F.concat(F.array("subject"), "cells").alias("cells"))
+    write_tables(filled.unionByName(_bare(layouts)), dest)
+    return sorted(f"{dest}/{r['table']}.parquet" for r in layouts.select("table").collect())

@@ -2,20 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.functions.values import to_number
-
-FORMATS = ("parquet", "csv")
-
-
-def check_format(output_format: str) -> None:
-    if output_format not in FORMATS:
-        raise ValueError(f"unknown output format {output_format}")
+from lakeloom.session import pinned
+from lakeloom.sources.many_tables import check_format, layout_of, write_tables
 
 
 def write_table(df: DataFrame, dest: str, tag: str, name: str, output_format: str = "parquet") -> str:
@@ -52,34 +43,18 @@ def write_partitioned(df: DataFrame, path: str, *keys: str) -> None:
     writer.partitionBy(*keys).parquet(path)
 
 
-def write_binary_tables(rows: DataFrame, dest: str, numeric: dict[str, bool] | None = None, parallel: int = 8) -> list[str]:
-    """One ``(subject, name)`` table per predicate from the rows of ``widen.binary_rows``.
+def write_binary_tables(rows: DataFrame, dest: str, numeric: DataFrame | None = None, output_format: str = "parquet") -> list[str]:
+    """One ``(subject, name)`` table per predicate from the rows of ``widen.binary_rows``, all in one job.
 
-    The folder must be there already. The rows are first laid out by table in one job;
-    each table is then read from its own part of that layout.
+    The folder must be there already. ``numeric``, ``(table, is_numeric)``, says which tables
+    hold numbers; without it all hold text.
     """
     spark = rows.sparkSession
     if not folder_exists(spark, dest):
         raise FileNotFoundError(f"folder {dest} does not exist")
-    from lakeloom.session import fresh_folder
-
-    stage = fresh_folder(spark, "binary")
-    write_partitioned(rows.select("table", "subject", "value"), stage, "table")
-    staged = spark.read.schema("subject string, value string, table string").parquet(stage)
-    names = sorted(r[0] for r in staged.select("table").distinct().collect())
-
-    def export(table: str) -> str:
-        column = table.removeprefix("binary-")
-        value = F.col("value")
-        if numeric is not None and numeric.get(table, False):
-            value = to_number(value)
-        one = staged.filter(F.col("table") == table).select("subject", value.alias(column))
-        return write_table(one, dest, "", table)
-
-    return in_parallel(export, names, parallel)
-
-
-def in_parallel(work, items: Iterable, parallel: int = 8) -> list:
-    """Submit one Spark job per item, a few at a time: the driver only waits."""
-    with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(work, list(items)))
+    tables = pinned(rows.select("table").distinct())
+    flags = tables.withColumn("is_numeric", F.lit(False)) if numeric is None else tables.join(numeric, "table")
+    column = F.regexp_replace("table", "^binary-", "")
+    layouts = flags.select("table", layout_of(F.array(F.lit("subject"), column), F.array(F.lit(False), F.col("is_numeric"))).alias("layout"))
+    write_tables(rows.select("table", F.array("subject", "value").alias("cells")).join(layouts, "table"), dest, output_format)
+    return sorted(f"{dest}/{r['table']}.{output_format}" for r in tables.collect())

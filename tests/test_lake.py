@@ -1,16 +1,20 @@
 """Combinations, subtables, samples, estimates, base tables and the jobs."""
 
 import itertools
+import json
 import math
 import random
+import time
 
+import pyarrow as pa
+import pyarrow.fs
 import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators import base_tables, combine, estimate, subtables
 from lakeloom.plans import jobs
 from lakeloom.session import fresh_folder
-from lakeloom.sources import sinks, star, tables, triples
+from lakeloom.sources import many_tables, sinks, star, tables, triples
 
 COLUMNS = ["a", "b", "c", "d", "e"]
 ROW_SCHEMA = "seed_table string, subject string, row_key long, attrs map<string,string>"
@@ -250,6 +254,80 @@ def test_binary_tables_of_all_facts(spark, kb):
     assert dict(spark.read.parquet(f"{dest}/binary-hasBrand.parquet").dtypes)["hasBrand"] == "string"
 
 
+def rows_for(spark, tables, n=3):
+    """Rows for tables of different width, one of them without rows."""
+    rows = []
+    for t in range(tables):
+        names = ["key"] + [f"c{i}" for i in range(t % 4)]
+        layout = json.dumps([{"name": c, "kind": "double" if i % 2 else "string"} for i, c in enumerate(names)])
+        rows.append((f"d{t % 2}/t{t}", layout, None))
+        rows += [(f"d{t % 2}/t{t}", layout, [f"k{r}", *[str(r + i) if i % 2 == 0 else f'say "{r}",\nx ' for i in range(len(names) - 1)]])
+                 for r in range(n if t else 0)]
+    return spark.createDataFrame(rows, many_tables.ROWS).repartition(7)
+
+
+def jobs_of(spark, work):
+    group = f"g{time.time()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("output_format", ["parquet", "csv"])
+def test_tables_of_different_schemas_are_one_write(spark, output_format):
+    dest = fresh_folder(spark, "many")
+    few = jobs_of(spark, lambda: many_tables.write_tables(rows_for(spark, 3), fresh_folder(spark, "few")))
+    many = jobs_of(spark, lambda: many_tables.write_tables(rows_for(spark, 40), dest, output_format))
+    assert many == few
+    many_tables.write_tables(rows_for(spark, 40, 2), dest, output_format)  # replaces
+    for t in (0, 1, 2, 3, 39):
+        path = f"{dest}/d{t % 2}/t{t}.{output_format}"
+        df = spark.read.parquet(path) if output_format == "parquet" else tables.read_csv_text(spark, path)
+        assert df.columns == ["key"] + [f"c{i}" for i in range(t % 4)]
+        assert df.count() == (2 if t else 0)
+        if t == 39:
+            kinds = [k for _, k in df.dtypes]
+            assert kinds == (["string", "double", "string", "double"] if output_format == "parquet" else ["string"] * 4)
+            assert sorted(r["c1"] for r in df.collect()) == ['say "0",\nx ', 'say "1",\nx ']
+            assert sorted(float(r["c2"]) for r in df.collect()) == [2.0, 3.0]
+    fs, root = many_tables.file_system(dest)
+    assert not [i.path for i in fs.get_file_info(pa.fs.FileSelector(root)) if "_writing" in i.path]
+
+
+def test_a_failed_write_leaves_nothing(spark):
+    dest = fresh_folder(spark, "many")
+    many_tables.write_tables(rows_for(spark, 4), dest)
+    wrong = spark.createDataFrame([("d0/wrong", '[{"name": "key", "kind": "double"}]', ["no number"])], many_tables.ROWS)
+    with pytest.raises(Exception, match="no number"):
+        many_tables.write_tables(rows_for(spark, 20).unionByName(wrong), dest)
+    fs, root = many_tables.file_system(dest)
+    found = {i.path.removeprefix(root) for i in fs.get_file_info(pa.fs.FileSelector(root, recursive=True))}
+    assert {f for f in found if f.endswith(".parquet") and "part-" not in f} == {"/d0/t0.parquet", "/d0/t2.parquet", "/d1/t1.parquet", "/d1/t3.parquet"}
+    assert not [f for f in found if "_writing" in f] and spark.read.parquet(f"{dest}/d0/t2.parquet").count() == 3
+
+
+def test_lakes_are_read_in_tasks(spark):
+    """Footers, first rows and all rows of many tables: as many jobs as for few."""
+    roots = {n: fresh_folder(spark, "many") for n in (4, 30)}
+    for n, root in roots.items():
+        many_tables.write_tables(rows_for(spark, n, 8), root)
+    for work in (tables.footers, tables.browse, tables.lake_rows):
+        assert jobs_of(spark, lambda: work(spark, roots[4]).collect()) == jobs_of(spark, lambda: work(spark, roots[30]).collect())  # noqa: B023
+    rows = tables.lake_rows(spark, roots[30]).collect()
+    assert len(rows) == 29 * 8 and {r["cells"]["key"] for r in rows} == {f"k{i}" for i in range(8)}
+    first = tables.browse(spark, roots[30], 3).collect()
+    assert len(first) == 29 * 3 and {r["row_index"] for r in first} == {0, 1, 2}
+    path = f"{fresh_folder(spark, 'lake')}/one.parquet"
+    spark.range(1000).selectExpr("id", "if(id % 4 = 0, null, 'x') AS v").coalesce(1).write.option("parquet.block.row.count.limit", 100).parquet(path)
+    parts = {r["column"]: r for r in tables.column_sizes(spark, path.rsplit("/", 1)[0]).collect()}
+    assert parts["v"]["n_null"] == 250 and parts["id"]["rows"] == 1000 and parts["id"]["bytes"] > parts["v"]["bytes"] > 0
+    whole = tables.lake_rows(spark, path.rsplit("/", 1)[0]).orderBy("row_index").collect()
+    assert [(r["row_index"], r["cells"]["id"]) for r in whole] == [(i, str(i)) for i in range(1000)]
+
+
 def test_second_run_leaves_no_old_tables(spark):
     path = fresh_folder(spark, "lake")
     for names in ("ab", "c"):
