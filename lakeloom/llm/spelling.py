@@ -46,7 +46,7 @@ TIMES = 2  # that it occurs at least
 FACTOR = 10  # a form occurs so many times as often at least
 SLICE = 1 << 20  # characters of a text that are cut into words at a time
 HELD = 200_000  # words that a task counts before it hands them on
-SAMPLE = 100_000  # words that the dictionary is fitted on at most
+SAMPLE = 100_000  # words that the dictionary is fitted on, about
 FREQUENT = 3  # a gram found more often among them is made longer
 SHORTEST, LONGEST = 2, 16  # grams
 PLACES = 32  # from either end at which a word posts grams
@@ -387,7 +387,10 @@ def near_words(counted: DataFrame, sample: int = SAMPLE, block: int = BLOCK, por
     """word, n_near, near (the near word that occurs most, the first of several) and near_n, of words that have one."""
     spark = counted.sparkSession
     short = counted.filter(F.char_length("word") <= LONG)
-    drawn = [r[0] for r in short.orderBy(F.xxhash64("word"), "word").limit(sample).select("word").collect()]
+    # as many words as the sample wants, give or take their root, by hash: no task sends more than its share
+    rate = min(1.0, sample / max(1, short.count()))
+    chosen = short.filter(F.shiftrightunsigned(F.xxhash64("word"), 1) <= min(int(rate * 2.0**63), (1 << 63) - 1))
+    drawn = [r[0] for r in chosen.select("word").collect()]
     held = spark.sparkContext.broadcast(dictionary(drawn))  # follows the sample, which is bounded
 
     def post(batches):
