@@ -336,6 +336,8 @@ ORACLE: dict[str, str] = {
     "src_6": f"SELECT * REPLACE ({AWKWARD.format('c_name')} AS c_name) FROM customer",
     "src_7": f"""SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, {AWKWARD.format('p_name')} AS p_name, p_brand, p_type,
         CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part""",
+    "src_6_documents": "SELECT * FROM documents",
+    "src_7_documents": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
     "src_8": kg("SELECT replace(replace(predicate, '<', ''), '>', '') AS predicate, subject, cat_object AS value FROM kg_facts"),
     "src_9": kg("""SELECT DISTINCT 'binary-' || replace(replace(predicate, '<', ''), '>', '') AS \"table\" FROM kg_facts"""),
     "src_10": kg("""SELECT 'wordnet_full-' || replace(replace(seed_table, '<', ''), '>', '') AS "table", cols AS arity, n_num, c_num

@@ -188,6 +188,24 @@ def src_7(kg):
     return tables.read_csv_text(kg.spark, path)
 
 
+def _documents(kg) -> DataFrame:
+    return kg.spark.read.parquet(f"{kg.folder}/documents.parquet")
+
+
+@query
+def src_6_documents(kg):
+    """Texts with line breaks, written as one file and read by the blocks of it."""
+    documents = _documents(kg)
+    path = sinks.write_table(documents.coalesce(1), fresh_folder(kg.spark, "csv"), "", "documents", "csv")
+    return tables.read_csv(kg.spark, path, documents.schema)
+
+
+@query
+def src_7_documents(kg):
+    path = sinks.write_table(_documents(kg).coalesce(1), fresh_folder(kg.spark, "csv"), "", "documents", "csv")
+    return tables.read_csv_text(kg.spark, path)
+
+
 def _binary_lake(kg) -> str:
     """A lake on disk, one table per entity predicate."""
     root = fresh_folder(kg.spark, "lake")

@@ -1,5 +1,7 @@
 """Text, number and date rules on hand-made values."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +94,47 @@ def test_csv_keeps_quotes_blanks_and_line_breaks(spark, tmp_path):
     assert '"Smith ""Bob"", Inc"' in text
 
 
+def one_task(spark, path, schema):
+    return spark.read.options(header=True, quote='"', escape='"', multiLine=True).schema(schema).csv(path)
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_csv_blocks_equal_one_task(spark, tmp_path, ends):
+    """Records over several lines and blocks, quotes, blank lines: as one task reads them."""
+    from lakeloom.sources import csv_blocks, tables
+
+    rng = random.Random(8)
+    texts = ["plain", "", 'say "hi"', "two\nlines", '"\n"', "a,b\n\n\nc", 'x"\n"y\n' * 9, "long line\n" * 400, '""', " blank "]
+    rows = [(str(i), rng.choice(texts), None if i % 7 == 0 else rng.choice(texts)) for i in range(800)]
+    quoted = lambda v: "" if v is None else '"' + v.replace('"', '""') + '"'
+    for part in range(2):
+        body = [",".join(map(quoted, r)) for r in rows[part::2]]
+        text = "id,a,b" + ends + ends.join(line + (ends if rng.random() < 0.05 else "") for line in body) + (ends if part else "")
+        (tmp_path / f"{part}.csv").write_bytes(text.encode())
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "3000")
+    try:
+        got = tables.read_csv_text(spark, str(tmp_path)).collect()
+        blocks = csv_blocks.records(spark, str(tmp_path)).select("path", "block").distinct().count()
+    finally:
+        spark.conf.set(size, before)
+    assert blocks > 20  # of two files
+    assert sorted(got, key=lambda r: int(r["id"])) == sorted(one_task(spark, str(tmp_path), "id string, a string, b string").collect(), key=lambda r: int(r["id"]))
+    assert {tuple(r) for r in got} == {tuple(v or None for v in r) for r in rows}  # an empty field is null, quoted or not
+
+
+def test_csv_types_are_inferred(spark, tmp_path):
+    from lakeloom.sources import tables
+
+    (tmp_path / "t.csv").write_text('i,l,d,t,s,b,n,"m\nn"\n1,12345678901,1.5,2024-01-02,x,true,,a\n-2,,1e3,2024-02-03,"y\nz",FALSE,,2024-01-01 10:00:00\n')
+    df = tables.read_csv(spark, str(tmp_path / "t.csv"))
+    assert df.dtypes == [("i", "int"), ("l", "bigint"), ("d", "double"), ("t", "date"), ("s", "string"), ("b", "boolean"), ("n", "string"), ("m\nn", "string")]
+    assert [tuple(r)[:3] for r in df.orderBy("i").collect()] == [(-2, None, 1000.0), (1, 12345678901, 1.5)]
+    (tmp_path / "empty.csv").write_text("a,b\n")
+    assert tables.read_csv(spark, str(tmp_path / "empty.csv")).collect() == []
+
+
 def test_quartiles_are_exact_at_any_size(spark):
     from pyspark.sql import functions as F
 
