@@ -323,6 +323,65 @@ def all_capped(source: str) -> str:
     )
 
 
+def drawn(source: str, attempts: int, smallest: int | None = None, least: int = 100, most: int | None = None) -> list[str]:
+    """Named steps up to ``kept``: the specs that become subtables.
+
+    ``source`` yields ``cols`` (seed_table, col, is_numeric) and ``patterns`` (seed_table, pattern, n).
+    """
+    low = "greatest(2, len(names) - 2)" if smallest is None else str(smallest)
+
+    def digit(place: str) -> str:
+        return f"""CAST('0x' || substr(md5(concat_ws('/', '42', seed_table, "case", attempt, {place})), 1, 15) AS BIGINT)"""
+
+    past = 'OVER (PARTITION BY seed_table, "case" ORDER BY attempt ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)'
+    open_ = "failed <= 100" if most is None else f"failed < 100 AND kept < {most}"
+    return [
+        source,
+        """named AS (SELECT seed_table, 'all' AS "case", list(col ORDER BY col) AS names FROM cols GROUP BY 1
+          UNION ALL SELECT seed_table, 'num', list(col ORDER BY col) FROM cols WHERE is_numeric GROUP BY 1 HAVING count(*) >= 2)""",
+        f"tried AS (SELECT *, unnest(range(0, {attempts})) AS attempt, {low} AS low FROM named WHERE {low} <= len(names))",
+        f"sized AS (SELECT *, low + {digit("'size'")} % (len(names) - low + 1) AS k FROM tried)",
+        f"""picks AS (SELECT seed_table, "case", attempt, k, 0 AS i, CAST([] AS VARCHAR[]) AS cols, names AS rest FROM sized
+          UNION ALL SELECT seed_table, "case", attempt, k, i + 1, list_append(cols, rest[d + 1]), list_concat(rest[1:d], rest[d + 2:])
+          FROM (SELECT *, CAST({digit('i')} % len(rest) AS BIGINT) AS d FROM picks WHERE i < k))""",
+        'specs AS (SELECT seed_table, "case", attempt, cols FROM picks WHERE i = k)',
+        """counted AS (SELECT s.seed_table, s."case", s.attempt, s.cols, coalesce(sum(p.n), 0) AS n_rows FROM specs s
+          LEFT JOIN patterns p ON p.seed_table = s.seed_table AND list_has_any(p.pattern, s.cols) GROUP BY ALL)""",
+        f"""judged AS (SELECT *, n_rows > {least} AND row_number() OVER (PARTITION BY seed_table, "case", cols ORDER BY attempt) = 1 AS good FROM counted)""",
+        f"""tallied AS (SELECT *, coalesce(sum(CASE WHEN good THEN 0 ELSE 1 END) {past}, 0) AS failed,
+          coalesce(sum(CASE WHEN good THEN 1 ELSE 0 END) {past}, 0) AS kept FROM judged)""",
+        f"""kept AS (SELECT seed_table, "case", replace(replace(array_to_string(cols, '-'), '<', ''), '>', '') AS combination,
+          CAST(n_rows AS BIGINT) AS n_rows FROM tallied WHERE good AND {open_})""",
+    ]
+
+
+# columns and null patterns of the full seed tables with more than eight columns
+FULL_LAKE = """cols AS (SELECT type AS seed_table, col, is_numeric FROM full_columns
+  WHERE type IN (SELECT type FROM full_columns GROUP BY 1 HAVING count(*) + 1 > 8)),
+patterns AS (SELECT seed_table, pattern, count(*) AS n FROM (
+  SELECT type AS seed_table, subject, list(predicate || '_' || (rn - 1)) FILTER (WHERE v IS NOT NULL) AS pattern FROM taken GROUP BY 1, 2) GROUP BY ALL)"""
+REPLICAS = """(SELECT seed_table, "case", combination, replica, CAST(CASE WHEN replica = 0 THEN n_rows ELSE floor(n_rows * 0.7::DOUBLE) END AS BIGINT) AS n_rows
+  FROM kept, (VALUES (0), (1), (2)) AS r(replica))"""
+
+
+def long_lake() -> str:
+    """The same of the long seed tables with more than five columns."""
+    wide = [s for s in SEEDS if len(names_of(s)) + 1 > 5]
+    cols = " UNION ALL ".join(
+        f"SELECT '{s}' AS seed_table, '<{c}>' AS col, {'true' if c in NUMERIC else 'false'} AS is_numeric" for s in wide for c in names_of(s)
+    )
+    patterns = " UNION ALL ".join(
+        f"SELECT '{s}' AS seed_table, list_filter([{', '.join(f"CASE WHEN {c} IS NOT NULL THEN '<{c}>' END" for c in names_of(s))}], "
+        f"lambda x: x IS NOT NULL) AS pattern, count(*) AS n FROM ({long_chain(s)}) GROUP BY ALL"
+        for s in wide
+    )
+    return f"cols AS ({cols}),\npatterns AS ({patterns})"
+
+
+def kg_drawn(body: str, *more: str) -> str:
+    return kg(body, *more).replace("WITH", "WITH RECURSIVE", 1)
+
+
 ENTITY_PREDICATES = ["containsPart", "hasBrand", "hasMarketSegment", "hasPartType", "hasPriority", "hasStatus", "isLocatedIn",
                      "livesIn", "placedOrder"]
 
@@ -548,6 +607,11 @@ ORACLE: dict[str, str] = {
         for c in combinations(full_names(PART), 2) if not (c[0].endswith("_1") and c[1].endswith("_1"))
     ), RANKED, f"wide AS MATERIALIZED ({full_chain(PART)})"),
     "sub_1": kg(SUBTABLES, RANKED),
+    "sub_2": kg_drawn("SELECT * FROM kept", RANKED, FULL_COLUMNS, *drawn(FULL_LAKE, 5)),
+    "sub_3": kg_drawn(f"SELECT *, n_rows AS n_subjects, n_rows AS n_inside FROM {REPLICAS}", RANKED, FULL_COLUMNS, *drawn(FULL_LAKE, 5)),
+    "sub_5": kg_drawn(f"SELECT * FROM {REPLICAS}", RANKED, FULL_COLUMNS, *drawn(FULL_LAKE, 5)),
+    "sub_6": kg_drawn("SELECT * FROM kept", RANKED, FULL_COLUMNS, *drawn(FULL_LAKE, 110, 1, 50, 10)),
+    "sub_7": kg_drawn(f"SELECT count(*) AS total_generated FROM {REPLICAS}", RANKED, FULL_COLUMNS, *drawn(FULL_LAKE, 5)),
     "sub_4": kg("""SELECT type AS seed_table, subject, string_agg(coalesce(v, '~'), '|' ORDER BY predicate, i) AS cells FROM (
           SELECT s.type, s.subject, c.predicate, c.i, t.v
           FROM (SELECT DISTINCT type, subject FROM taken) s
@@ -613,6 +677,7 @@ ORACLE: dict[str, str] = {
         f"CAST({len(names_of(s)) + 1} AS BIGINT) AS arity, CAST({sum(c in NUMERIC for c in names_of(s))} AS BIGINT) AS n_num"
         for s in SEEDS
     ), RANKED),
+    "job_4": kg_drawn(f"SELECT *, n_rows AS n_written FROM {REPLICAS}", RANKED, *drawn(long_lake(), 5)),
     "job_5": kg("""SELECT type, count(*) AS n_facts, any_value(top.count) AS count FROM facts JOIN wn USING (subject)
         JOIN top USING (type) GROUP BY type""", top_types(3, "<wordnet_")),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions import text, values
@@ -1070,10 +1070,19 @@ def sub_2(kg):
     return _drawn(kg).select("seed_table", "case", _named("cols"), "n_rows")
 
 
+def _sample_facts(rows: DataFrame) -> DataFrame:
+    """Per subtable and replica: rows, different ones, and those that are in the projection itself."""
+    of_row = Window.partitionBy("seed_table", "case", "subtable_id", "subject", "cells")
+    inside = rows.withColumn("inside", F.max((F.col("replica") == 0).cast("int")).over(of_row))
+    return inside.groupBy("seed_table", "case", _named("cols"), "replica").agg(
+        F.count("*").alias("n_rows"), F.countDistinct("subject").alias("n_subjects"), F.sum("inside").alias("n_inside")
+    )
+
+
 @query
 def sub_3(kg):
-    rows = subtables.subtable_rows(kg.full_rows, _drawn(kg, col_resample=2).filter("case = 'all'"))
-    return rows.select("seed_table", "replica", _named("cols"), "subject", cells_text("cells").alias("cells"))
+    """Full tables have one row per subject, so subjects tell whether a sample repeats a row."""
+    return _sample_facts(subtables.subtable_rows(kg.full_rows, _drawn(kg)))
 
 
 @query
@@ -1256,7 +1265,11 @@ def job_4(kg):
     source = fresh_folder(kg.spark, "lake")
     jobs.build_long_seeds(kg.sparse, kg.types, source, export=False)
     manifest = jobs.build_subtables(kg.spark, source, minimum_arity=5)
-    return manifest.select("seed_table", "case", "replica", _named("cols"), "n_rows")
+    rows = kg.spark.read.parquet(f"{source}_5/{jobs.SUBTABLE_ROWS}")
+    written = rows.groupBy(*subtables.KEYS).agg(F.count("*").alias("n_written"))
+    return manifest.join(written, subtables.KEYS, "left").select(
+        "seed_table", "case", "replica", _named("cols"), "n_rows", "n_written"
+    )
 
 
 @query

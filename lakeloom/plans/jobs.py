@@ -331,11 +331,8 @@ def draw_subtables(
     ``max_tables`` stops a table at that many; up to ``limit_break`` further draws may fail.
     """
     viable = viable_tables(manifest, minimum_arity).select("seed_table")
-    listed: dict[str, list[tuple[str, bool]]] = {}
-    for c in sorted(columns.join(viable, "seed_table").select("seed_table", "column", "is_numeric").collect()):
-        listed.setdefault(c["seed_table"], []).append((c["column"], c["is_numeric"]))
     attempts = col_resample if max_tables is None else max_tables + limit_break
-    specs = subtables.draw_specs(rows.sparkSession, listed, attempts, seed, smallest)
+    specs = pinned(subtables.draw_specs(columns.join(viable, "seed_table", "left_semi"), attempts, seed, smallest))
     return pinned(subtables.keep_specs(subtables.count_specs(rows, specs), minimum_rows, limit_break, max_tables))
 
 

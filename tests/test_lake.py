@@ -77,12 +77,37 @@ def test_combination_with_exactly_the_minimum(spark):
 
 
 def test_drawn_specs(spark):
-    names = [f"c{i}" for i in range(6)]
-    drawn = subtables.draw(names, 50, "42/T/all")
-    assert drawn == subtables.draw(names, 50, "42/T/all") != subtables.draw(names, 50, "43/T/all")
-    assert {len(c) for c in drawn} == {4, 5, 6} and all(len(set(c)) == len(c) for c in drawn)
-    assert {len(c) for c in subtables.draw(["x", "y"], 9, "s")} == {2}
-    assert subtables.draw(["x"], 9, "s") == []
+    columns = [("T", f"c{i}", i % 2 == 0) for i in range(6)] + [("U", "x", True), ("V", "x", False), ("V", "y", True)]
+    columns = spark.createDataFrame(columns, "seed_table string, column string, is_numeric boolean")
+
+    def drawn(*args, **how):
+        rows = subtables.draw_specs(columns, *args, **how).collect()
+        return {(r["seed_table"], r["case"], r["attempt"]): tuple(r["cols"]) for r in rows}
+
+    found = drawn(300)
+    assert found == drawn(300) != drawn(300, seed=43) and {k: v for k, v in found.items() if k[2] < 9} == drawn(9)
+    assert {k[:2] for k in found} == {("T", "all"), ("T", "num"), ("V", "all")}  # the others have too few names
+    of = lambda *k: [v for key, v in found.items() if key[:2] == k]
+    assert {len(c) for c in of("T", "all")} == {4, 5, 6} and all(len(set(c)) == len(c) for c in found.values())
+    assert set(of("V", "all")) == {("x", "y"), ("y", "x")}
+    assert set(of("T", "num")) == set(itertools.permutations(("c0", "c2", "c4"), 2)) | set(itertools.permutations(("c0", "c2", "c4")))
+    assert {len(c) for k, c in drawn(100, smallest=1).items() if k[:2] == ("T", "all")} == {1, 2, 3, 4, 5, 6}
+    assert drawn(0) == {}
+
+
+def test_samples_of_equal_places_and_deep_cells(spark, monkeypatch):
+    """Cells are cut again and again until few rows or one place are left; ties are cut by row key."""
+    monkeypatch.setattr(subtables, "CELL_ROWS", 2)
+    monkeypatch.setattr(subtables, "CELL_BITS", 3)
+    rows = spark.range(500).select(
+        F.lit("t").alias("seed_table"), F.lit("all").alias("case"), F.lit("s").alias("subtable_id"), F.lit(1).alias("replica"),
+        F.col("id").alias("row_key"), F.lit(500).alias("n_rows"),
+        F.when(F.col("id") < 300, F.lit(5).cast("long")).otherwise(F.col("id") * (1 << 40)).alias("place"),
+    )
+    for fraction, place, key in ((0.5, 5, 249), (0.6, 5, 299), (0.8, 399 << 40, 399), (1.0, 499 << 40, 499)):
+        cut = subtables.sample_cuts(rows, fraction).collect()
+        assert [(r["cut_place"], r["cut_key"]) for r in cut] == [(place, key)]
+    assert subtables.sample_cuts(rows, 0.001).count() == 0
 
 
 def test_kept_specs_follow_the_attempts(spark):
