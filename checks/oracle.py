@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from lakeloom.sources.triples import SAMPLE_ROWS
+
 VIEWS = """
 kg_facts AS (
   SELECT '<customer_' || c_custkey || '>' AS subject, '<livesIn>' AS predicate,
@@ -390,6 +392,7 @@ ORACLE: dict[str, str] = {
         c_mktsegment AS num_object FROM customer WHERE c_custkey <> (SELECT max(c_custkey) FROM customer)""",
     "src_2": """SELECT c_custkey AS id, c_name AS subject, c_nationkey AS predicate, c_acctbal AS cat_object,
         c_mktsegment AS num_object FROM customer ORDER BY c_custkey LIMIT 100""",
+    "src_3": kg(f"SELECT least(count(*), {SAMPLE_ROWS}) AS n_rows, CAST(0 AS BIGINT) AS n_outside FROM kg_facts"),
     "src_4": kg("SELECT '<id_' || predicate || '>' AS id, subject, predicate, cat_object FROM facts"),
     "src_5": kg(FACTS + "facts"),
     "src_6": f"SELECT * REPLACE ({AWKWARD.format('c_name')} AS c_name) FROM customer",
@@ -485,7 +488,7 @@ ORACLE: dict[str, str] = {
         any_value(m1.Level) AS Level, any_value(m2.Start_Time) AS Start_Time
         FROM by_nation LEFT JOIN m1 USING (Code, Category) LEFT JOIN m2 USING (Code, Category) GROUP BY Code, Category""",
     "agg_14": "WITH " + BY_NATION + " SELECT Code, round(log10(count(*)), 9) AS target FROM by_nation GROUP BY Code, Category",
-    "agg_15": kg("SELECT cat_object AS type, count(*) AS count FROM kg_types GROUP BY 1"),
+    "agg_15": kg("SELECT cat_object AS type, subject, count(*) OVER (PARTITION BY cat_object) AS count FROM kg_types"),
     "agg_16": kg("SELECT subject, count(*) AS count FROM wn GROUP BY 1"),
     "agg_17": kg("""SELECT round(100.0::DOUBLE * count(*) FILTER (WHERE subject IS NULL) / count(*), 6) AS subject,
         round(100.0::DOUBLE * count(*) FILTER (WHERE hasPriority IS NULL) / count(*), 6) AS hasPriority,
@@ -569,6 +572,8 @@ ORACLE: dict[str, str] = {
         max(CASE WHEN rn = 2 THEN cat_object END) AS value_1, max(CASE WHEN rn = 3 THEN cat_object END) AS value_2
         FROM (SELECT *, row_number() OVER (PARTITION BY subject, predicate ORDER BY cat_object) AS rn FROM kg_facts)
         GROUP BY 1, 2"""),
+    "hsh_1": kg("""SELECT type, count(*) OVER (PARTITION BY predicates) AS n_same_id FROM
+        (SELECT type, list(predicate ORDER BY predicate) AS predicates FROM adjacent GROUP BY type)""", ADJACENT),
     "cst_1": kg(f"""SELECT subject, predicate, cat_object, CASE WHEN regexp_matches(cat_object, {NUMBER}) THEN TRY_CAST(cat_object AS DOUBLE) END
         AS number FROM literals"""),
     "rsh_1": kg("SELECT subject, cat_object AS placedOrder FROM facts WHERE predicate = '<placedOrder>'"),
@@ -658,8 +663,9 @@ ORACLE: dict[str, str] = {
         FROM r""",
     "prp_4": """SELECT '<customer_' || c_custkey || '>' AS col_to_embed, round(log10(max(o_totalprice)), 9) AS target
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
-    "prp_5": f"""WITH {KNOWN} SELECT name, formatted_name FROM companies WHERE formatted_name NOT IN
-        (SELECT lower(subject) FROM known WHERE contains(subject, 'Red')) ORDER BY name, formatted_name LIMIT 20""",
+    "prp_5": f"""WITH {KNOWN}, own AS (SELECT CASE WHEN p_partkey % 9 = 0 THEN p_name || ' trading' ELSE p_name END AS name FROM part WHERE p_size >= 25),
+        formatted AS (SELECT name, '<' || regexp_replace(lower(name), '^([^ ]*) ', '\\1_') || '>' AS formatted_name FROM own)
+        SELECT * FROM formatted WHERE formatted_name NOT IN (SELECT lower(subject) FROM known) ORDER BY name, formatted_name LIMIT 20""",
     "job_1": kg(base_manifest(TOP_3, "sparse")),
     "job_1_explode": kg(distinct_combinations(
         [(s, "", names_of(s), f"base_{i}") for i, s in enumerate(TOP_3)], (2,), 10

@@ -152,7 +152,11 @@ def src_2(kg):
 
 @query
 def src_3(kg):
-    return triples.sample_rows(kg.entity, triples.SAMPLE_ROWS, key="subject")
+    """How many rows the sample has, and how many that are not in the table, or not as often."""
+    sample = pinned(triples.sample_rows(kg.entity, triples.SAMPLE_ROWS, key="subject"))
+    outside = sample.exceptAll(kg.entity).select(F.lit(0).alias("inside"), F.lit(1).alias("outside"))
+    both = sample.select(F.lit(1).alias("inside"), F.lit(0).alias("outside")).unionByName(outside)
+    return both.agg(F.sum("inside").alias("n_rows"), F.sum("outside").alias("n_outside"))
 
 
 @query
@@ -902,7 +906,8 @@ def arr_2(kg):
 @query
 def hsh_1(kg):
     adjacent = selection.predicates_by_type(selection.type_predicate_counts(kg.facts, kg.types))
-    return adjacent.select("type", values.table_id(F.col("predicates")).alias("table_id"))
+    ids = adjacent.select("type", values.table_id(F.col("predicates")).alias("table_id"))
+    return ids.select("type", F.count("*").over(Window.partitionBy("table_id")).alias("n_same_id"))
 
 
 @query
@@ -1213,8 +1218,9 @@ def prp_4(kg):
 
 @query
 def prp_5(kg):
-    known = _known_names(kg).filter(F.col("subject").contains("Red"))
-    return base_tables.unmatched_companies(_companies(kg), known, least=25)
+    """Every ninth company has a name of its own, all others are known."""
+    own = F.when(F.col("p_partkey") % 9 == 0, F.concat("name", F.lit(" trading"))).otherwise(F.col("name"))
+    return base_tables.unmatched_companies(_companies(kg).withColumn("name", own), _known_names(kg), least=25)
 
 
 # -- jobs ------------------------------------------------------------------------------------------------------------------

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators.ranges import running_sum
+from lakeloom.session import pinned
+
 # The numbers of projections that the sweep goes through.
 SWEEP = [1, 3, 5, 10, 30, 50, 100]
 
@@ -37,21 +40,42 @@ def with_cells(stats: DataFrame) -> DataFrame:
     return stats.withColumn("cells", F.col("rows") * F.col("cols"))
 
 
-def nearest_quantile(column: str, q: float) -> Column:
-    """The value at rank round(q·(n-1)) of the sorted column: statistics, one row per table."""
-    place = F.round((F.count(column) - 1) * F.lit(q)).cast("int")
-    return F.get(F.array_sort(F.collect_list(column)), place)
+def at_ranks(stats: DataFrame, columns: Sequence[str], ranks: dict[str, Column]) -> DataFrame:
+    """``(column, <rank name> …)``: the values at given ranks (from 0, over ``n`` rows) of sorted columns.
+
+    Equal values are counted first, and the counts summed up over ranges of values, so that
+    no task holds a whole column.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    counted = stats.select(F.inline(cells)).groupBy("column", "value").agg(F.count("*").alias("c"))
+    upto = running_sum(counted, "c", "upto", ["value"], ["column"])
+    sizes = pinned(counted.groupBy("column").agg(F.sum("c").alias("n")))
+    found = upto.join(sizes, "column").groupBy("column")
+    return found.agg(*[F.min(F.when(F.col("upto") > rank, F.col("value"))).alias(name) for name, rank in ranks.items()])
 
 
 def summary(stats: DataFrame, min_cols: int = 8, q: float = 0.8) -> DataFrame:
-    """Median, mean and quantile of rows, columns and cells for tables wider than ``min_cols``."""
+    """Median, mean and quantile of rows, columns and cells for tables wider than ``min_cols``.
+
+    The quantile is the value at rank round(q·(n-1)).
+    """
     named = [("rows", "row"), ("cols", "col"), ("cells", "cell")]
-    return stats.filter(F.col("cols") > min_cols).agg(
-        *[F.median(c).alias(f"{n}_median") for c, n in named],
-        *[F.avg(c).alias(f"{n}_mean") for c, n in named],
-        *[nearest_quantile(c, q).alias(f"{n}_qle") for c, n in named],
-        F.count("*").alias("len"),
+    wide = stats.filter(F.col("cols") > min_cols)
+    n = F.col("n")
+    ranks = {"low": F.floor((n - 1) / 2), "high": F.ceil((n - 1) / 2), "qle": F.round((n - 1) * F.lit(q))}
+    placed = at_ranks(wide, [c for c, _ in named], ranks)
+
+    def of(column: str, value: Column) -> Column:
+        return F.max(F.when(F.col("column") == column, value))
+
+    picked = placed.agg(
+        *[of(c, (F.col("low") + F.col("high")) / 2).alias(f"{n}_median") for c, n in named],
+        *[of(c, F.col("qle")).cast("long").alias(f"{n}_qle") for c, n in named],
     )
+    means = wide.agg(*[F.avg(c).alias(f"{n}_mean") for c, n in named], F.count("*").alias("len"))
+    order = [f"{n}_{what}" for what in ("median", "mean", "qle") for _, n in named]
+    both = picked.unionByName(means, allowMissingColumns=True)  # one row each
+    return both.agg(*[F.max(c).alias(c) for c in [*order, "len"]])
 
 
 def _number(value: Column | float) -> Column:

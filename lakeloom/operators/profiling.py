@@ -190,8 +190,12 @@ def number_of_types(types: DataFrame, prefix: str) -> DataFrame:
 
 
 def subjects_by_type(types: DataFrame) -> DataFrame:
-    """Subjects per type, as a count; the members themselves stay rows (see ``selection.members``)."""
-    return type_counts(types)
+    """``(type, subject, count)``: the members of every type, one row each, with the number of them.
+
+    Members stay rows, so that a type with a third of all subjects is no single row.
+    """
+    rows = types.select(F.col("cat_object").alias("type"), "subject")
+    return rows.join(type_counts(types), "type").select("type", "subject", "count")
 
 
 def node_degrees(edges: DataFrame, left: str = "type", right: str = "predicate") -> DataFrame:
