@@ -1,9 +1,15 @@
 """Quality rules by distribution divergence, in DataFrame expressions only.
 
-Two histograms of a document, its character classes and the common words of four
-languages, are compared with those of its language by Jensen-Shannon distance. The
-references are the mean histograms of all documents of a language that pass the base
-rules. Short documents are guarded: below a minimum length a distance says nothing.
+Three histograms of a document are compared with those of its language by Jensen-Shannon
+distance: its character classes, which of the common words of four languages it uses, and
+how much of it is common words at all (two classes). A document is rejected where one of
+them is too far. The references are class-wise medians over the documents of a language that
+pass the base rules and are long enough to be judged: a group of less than half of them, be
+it a source or copies of one text, cannot pull a median out of what the others span. Short
+documents are guarded: below a minimum length a distance says nothing.
+
+Words for this are runs of characters other than ASCII non-letters, with A-Z lower-cased,
+so that ``The`` and ``the,`` count as ``the``.
 
 Defined cases: a null text has no words and fails the base rules, like every text with
 fewer than ten. A null language is one of its own. Repeated rows are judged alike. Without
@@ -12,6 +18,8 @@ a document that a reference can be made of, base rules decide alone. Whole texts
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +37,14 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 MIN_CHARS_JUDGED = 400  # letters and marks below which character classes are not judged
-MIN_WORDS_JUDGED = 100  # words below which common words are not judged
+MIN_WORDS_JUDGED = 100  # words below which the share of common words is not judged
+MIN_COMMON_JUDGED = 20  # common words below which it is not judged which ones they are: a passage in another language may be half of them
 MAX_CHAR_DISTANCE = 0.3
-MAX_WORD_DISTANCE = 0.36
-MICRO = 1_000_000  # shares are summed as whole millionths, so that any order gives the same sum
+MAX_SHARE_DISTANCE = 0.2
+MAX_WORD_DISTANCE = 0.92  # a text that is mostly, but not wholly, in another language is below
+PARTS = 10_000  # medians are of whole ten-thousandths, so a language has 10,001 values a class at most
+TOKEN_END = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # character classes, taken away from the text one after the other; what is left is its own class
 CLASSES = [
     ("lower", "[a-z]+"),
@@ -51,7 +63,7 @@ def _joined(a: Column, b: Column, ahead: int) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base figures, and the histograms ``chars`` and ``common``."""
+    """doc_id, lang, the base figures, and the histograms ``chars``, ``common`` and ``share``."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_of(docs).alias("text")
     )
@@ -66,20 +78,27 @@ def measured(docs: DataFrame) -> DataFrame:
     rows = rows.select(
         "doc_id", "lang", F.array(*steps).alias("chars"), lines.alias("lines"),
         F.array_remove(F.split("text", f"{BLANKS}+"), "").alias("words"),
+        F.array_remove(F.split("text", TOKEN_END), "").alias("tokens"),
     )
+    short = F.filter("tokens", lambda w: F.length(w) <= max(map(len, COMMON)))
+    short = F.transform(short, lambda w: F.translate(w, UPPER, LOWER))
     rows = rows.select(
         "doc_id", "lang", "chars",
+        F.size("tokens").alias("n_tokens"),
+        F.filter(short, lambda w: w.isin(COMMON)).alias("used"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("words").cast("long").alias("n_words"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
-    at, size = F.col("hashes"), F.size("hashes")
-    # counts of a value: what array_remove takes away, a loop over numbers
-    hits = F.array(*[(size - F.size(F.array_remove(at, F.xxhash64(F.lit(w))))).cast("long") for w in COMMON])
+    at, used = F.col("hashes"), F.size("used")
+    # counts of a word: what array_remove takes away from the few that are common
+    common = F.array(*[(used - F.size(F.array_remove("used", w))).cast("long") for w in COMMON])
+    share = F.array(used, F.col("n_tokens") - used).cast("array<long>")
+    rows = rows.withColumn("common", common).withColumn("share", share).drop("used", "n_tokens")
     # windows of 2, 4 and 5 words, each from the one before
-    rows = rows.select("doc_id", "lang", "chars", "n_dup_lines", "n_words", "hashes", hits.alias("hits"), _joined(at, at, 1).alias("two"))
-    rows = rows.select("doc_id", "lang", "chars", "n_dup_lines", "n_words", "hashes", "hits", _joined(F.col("two"), F.col("two"), 2).alias("four"))
-    rows = rows.select("doc_id", "lang", "chars", "n_dup_lines", "n_words", "hits", _joined(F.col("four"), at, WINDOW - 1).alias("windows"))
+    rows = rows.withColumn("two", _joined(at, at, 1))
+    rows = rows.withColumn("four", _joined(F.col("two"), F.col("two"), 2)).drop("two")
+    rows = rows.withColumn("windows", _joined(F.col("four"), at, WINDOW - 1)).drop("four", "hashes")
     # only texts with a repeated window are sorted
     ordered = F.when(
         F.size(F.array_distinct("windows")) < F.size("windows"),
@@ -99,44 +118,57 @@ def measured(docs: DataFrame) -> DataFrame:
         F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).alias("total")),
         lambda a, p: F.struct(p.alias("last"), (a["total"] + F.least(F.lit(WINDOW), p - a["last"])).alias("total")),
     )["total"]
-    total = F.aggregate("chars", F.lit(0).cast("long"), lambda a, x: a + x)
-    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda a, x: a + x)
     rows = rows.select(
         "doc_id", "lang", "n_words",
-        (total - F.col("chars")[2]).alias("word_chars"),
+        (_total("chars") - F.col("chars")[2]).alias("word_chars"),
         F.col("chars")[4].alias("n_symbols"),
         "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        "chars",
-        F.concat("hits", F.array(F.col("n_words") - hit)).alias("common"),
+        "chars", "common", "share",
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
 
-def _millionths(counts: str) -> Column:
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.transform(counts, lambda x: F.floor(x * MICRO / F.greatest(total, F.lit(1))))
+def _total(counts: str | Column) -> Column:
+    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _judged() -> dict[str, Column]:
+    """The three histograms, and where they are long enough to be judged."""
+    return {
+        "chars": F.col("word_chars") >= MIN_CHARS_JUDGED,
+        "common": (F.col("n_words") >= MIN_WORDS_JUDGED) & (_total("common") >= MIN_COMMON_JUDGED),
+        "share": F.col("n_words") >= MIN_WORDS_JUDGED,
+    }
+
+
+def _parts(counts: str) -> Column:
+    return F.transform(counts, lambda x: F.floor(x * PARTS / F.greatest(_total(counts), F.lit(1))))
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """Per language the summed histograms of the documents that pass the base rules."""
-    good = rows.filter("not base_failed").select("lang", _millionths("chars").alias("c"), _millionths("common").alias("w"))
-    sums = [F.sum(F.col("c")[k]).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
-    sums += [F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(len(COMMON) + 1)]
-    return good.groupBy("lang").agg(*sums).select(
+    """Per language the medians of each class over the documents that pass the base rules and are judged.
+
+    The counts of a median are merged on the map side; they are 10,001 a class at most.
+    """
+    judged = _judged()
+    good = rows.filter("not base_failed").select("lang", *[F.when(long, _parts(c)).alias(c) for c, long in judged.items()])
+    size = {"chars": len(CLASSES) + 1, "common": len(COMMON), "share": 2}
+    middle = [F.percentile(F.col(c)[k], 0.5).alias(f"{c}_{k}") for c, n in size.items() for k in range(n)]
+    found = good.groupBy("lang").agg(*middle)
+    return found.select(
         F.col("lang").alias("of"),
-        F.array(*[f"c{k}" for k in range(len(CLASSES) + 1)]).alias("ref_chars"),
-        F.array(*[f"w{k}" for k in range(len(COMMON) + 1)]).alias("ref_common"),
+        *[F.when(F.col(f"{c}_0").isNotNull(), F.array(*[f"{c}_{k}" for k in range(n)])).alias(f"ref_{c}") for c, n in size.items()],
     )
 
 
 def distance(p: str, q: str) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of two histograms of counts."""
+    """Jensen-Shannon distance (base 2, 0 to 1) of two histograms; each is divided by its sum."""
 
     def share(c):
-        total = F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
-        return F.transform(c, lambda x: x / F.greatest(total, F.lit(1)))
+        total = F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+        return F.transform(c, lambda x: x / F.greatest(total, F.lit(1.0)))
 
     def term(x, m):
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
@@ -146,17 +178,20 @@ def distance(p: str, q: str) -> Column:
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """Per document the base figures, both distances (null where not judged), base_failed and kept."""
+    """Per document the base figures, the three distances (null where not judged), base_failed and kept."""
     rows = pinned(measured(docs))  # a few dozen numbers a document
     known = pinned(references(rows))  # one row per language
     rows = rows.join(known, F.col("lang").eqNullSafe(F.col("of")), "left")
-    char = F.when(F.col("word_chars") >= MIN_CHARS_JUDGED, distance("chars", "ref_chars"))
-    word = F.when(F.col("n_words") >= MIN_WORDS_JUDGED, distance("common", "ref_common"))
-    rows = rows.withColumn("char_distance", char).withColumn("word_distance", word)
-    far = (F.coalesce("char_distance", F.lit(0.0)) > MAX_CHAR_DISTANCE) | (
-        F.coalesce("word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE
+    judged = _judged()
+    rows = rows.select(
+        "*",
+        F.when(judged["chars"], distance("chars", "ref_chars")).alias("char_distance"),
+        F.when(judged["common"], distance("common", "ref_common")).alias("word_distance"),
+        F.when(judged["share"], distance("share", "ref_share")).alias("share_distance"),
     )
+    limits = {"char_distance": MAX_CHAR_DISTANCE, "word_distance": MAX_WORD_DISTANCE, "share_distance": MAX_SHARE_DISTANCE}
+    far = reduce(Column.__or__, [F.coalesce(F.col(c), F.lit(0.0)) > limit for c, limit in limits.items()])
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance",
+        (~F.col("base_failed") & ~far).alias("kept"), *limits,
     )

@@ -75,8 +75,16 @@ UNION ALL SELECT doc_id, item_id, CAST(max(n) AS INTEGER), CAST(max(n) AS INTEGE
 FROM short GROUP BY doc_id, item_id"""
 
 _COMMON = "[" + ", ".join(f"'{w}'" for w in quality.COMMON) + "]"
-_N_COMMON, _N_CHARS = len(quality.COMMON), len(quality.CLASSES) + 1
-_MICRO = "list_transform({0}, lambda x: CAST(floor(x * 1000000 / greatest(list_sum({0}), 1)) AS BIGINT))"
+# the three histograms: where they are judged, their classes, the name of their distance and its limit
+_HISTOGRAMS = {
+    "chars": (f"word_chars >= {quality.MIN_CHARS_JUDGED}", len(quality.CLASSES) + 1, "char_distance", quality.MAX_CHAR_DISTANCE),
+    "common": (
+        f"n_words >= {quality.MIN_WORDS_JUDGED} AND list_sum(common) >= {quality.MIN_COMMON_JUDGED}",
+        len(quality.COMMON), "word_distance", quality.MAX_WORD_DISTANCE,
+    ),
+    "share": (f"n_words >= {quality.MIN_WORDS_JUDGED}", 2, "share_distance", quality.MAX_SHARE_DISTANCE),
+}
+_PARTS = f"list_transform({{0}}, lambda x: CAST(floor(x * {quality.PARTS} / greatest(list_sum({{0}}), 1)) AS BIGINT))"
 
 
 def _distance(p: str, q: str) -> str:
@@ -88,13 +96,16 @@ def _distance(p: str, q: str) -> str:
 
 
 _QUALITY = rf"""
-WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS.format("coalesce(text, '')")} AS w,
+  list_transform(regexp_split_to_array(coalesce(text, ''), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda x: translate(x, '{quality.UPPER}', '{quality.LOWER}')) AS cut FROM documents),
 m AS (SELECT *, len(w) AS n_words,
   [length(t) - length(regexp_replace(t, '[a-z]', '', 'g')), length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')),
    length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')), length(t) - length(regexp_replace(t, '[0-9]', '', 'g')),
    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')),
    length(t) - length(regexp_replace(t, '[!"''()+,\-./:;=?@\[\\\]^_`{{}}~]', '', 'g')),
    length(regexp_replace(t, '[\x09-\x0D\x20-\x7E]', '', 'g'))] AS chars,
+  list_filter(cut, lambda x: x <> '') AS tokens,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
   list_transform(range(1, greatest(len(w) - 4, 0) + 1), lambda i: array_to_string(w[i:i + 4], ' ')) AS wins FROM d),
 u AS (SELECT doc_id, unnest(wins) AS win, unnest(range(1, len(wins) + 1)) AS i FROM m),
@@ -103,19 +114,20 @@ c AS (SELECT doc_id, sum(least(5, i - coalesce(before, i - 5))) AS n FROM
   (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM f) GROUP BY doc_id),
 h AS (SELECT m.doc_id, lang, n_words, CAST(list_sum(chars) - chars[3] AS BIGINT) AS word_chars, chars[5] AS n_symbols,
   len(lines) - len(list_distinct(lines)) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, chars,
-  list_transform({_COMMON}, lambda k: len(list_filter(w, lambda x: x = k))) AS hit
+  list_transform({_COMMON}, lambda k: len(list_filter(tokens, lambda x: x = k))) AS common, len(tokens) AS n_tokens
   FROM m LEFT JOIN c ON c.doc_id = m.doc_id),
 r AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-  list_append(hit, CAST(n_words - list_sum(hit) AS BIGINT)) AS common FROM h),
-s AS (SELECT lang, {_MICRO.format("chars")} AS c, {_MICRO.format("common")} AS w FROM r WHERE NOT base_failed),
-ref AS (SELECT lang, [{", ".join(f"sum(c[{k + 1}])" for k in range(_N_CHARS))}] AS rc,
-  [{", ".join(f"sum(w[{k + 1}])" for k in range(_N_COMMON + 1))}] AS rw FROM s GROUP BY lang),
-j AS (SELECT r.*, CASE WHEN word_chars >= {quality.MIN_CHARS_JUDGED} THEN {_distance("chars", "rc")} END AS char_distance,
-  CASE WHEN n_words >= {quality.MIN_WORDS_JUDGED} THEN {_distance("common", "rw")} END AS word_distance
+  [CAST(list_sum(common) AS BIGINT), CAST(n_tokens - list_sum(common) AS BIGINT)] AS share FROM h),
+s AS (SELECT lang, {", ".join(f"CASE WHEN {long} THEN {_PARTS.format(h)} END AS {h}" for h, (long, *_) in _HISTOGRAMS.items())}
+  FROM r WHERE NOT base_failed),
+ref AS (SELECT lang, {", ".join(
+    f"CASE WHEN count({h}) > 0 THEN [" + ", ".join(f"quantile_cont({h}[{k + 1}], 0.5)" for k in range(n)) + f"] END AS ref_{h}"
+    for h, (_, n, *_) in _HISTOGRAMS.items())} FROM s GROUP BY lang),
+j AS (SELECT r.*, {", ".join(f"CASE WHEN {long} THEN {_distance(h, 'ref_' + h)} END AS {name}" for h, (long, _, name, _) in _HISTOGRAMS.items())}
   FROM r LEFT JOIN ref ON r.lang IS NOT DISTINCT FROM ref.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(char_distance, 0) <= {quality.MAX_CHAR_DISTANCE}
-    AND coalesce(word_distance, 0) <= {quality.MAX_WORD_DISTANCE} AS kept, char_distance, word_distance FROM j"""
+  NOT base_failed AND {" AND ".join(f"coalesce({name}, 0) <= {limit}" for _, _, name, limit in _HISTOGRAMS.values())} AS kept,
+  {", ".join(name for _, _, name, _ in _HISTOGRAMS.values())} FROM j"""
 
 # CRC-32 of a list of bytes, with the table ``tb`` of ``crc_table``
 _CRC_TABLE = """crc_table AS (SELECT list_transform(range(256), lambda i:

@@ -9,6 +9,7 @@ import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -27,6 +28,7 @@ from lakeloom.llm import (
     toxicity,
     url_rules,
 )
+from lakeloom.llm.sql import ORACLE
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [
@@ -262,6 +264,46 @@ def test_quality_base_and_verdict(spark, odd, none, vocabulary):
     assert quality.judge(none).count() == 0
 
 
+def prose(rng, language, n, vocabulary, mark=""):
+    """Words of which one in six is a common one of the language (the k-th ten of the list)."""
+    ten = quality.COMMON[10 * language : 10 * language + 10]
+    draw = lambda: rng.choice(ten).capitalize() + "," if rng.random() < 1 / 6 else rng.choice(vocabulary).upper().lower() + mark
+    return " ".join(draw() for _ in range(n))
+
+
+def test_quality_rejects_other_languages_and_hot_groups(spark, vocabulary):
+    rng = random.Random(17)
+    plain = [w for w in vocabulary if w not in quality.COMMON]
+    clean = [(i, prose(rng, i % 2, rng.randint(250, 500), plain), "en" if i % 2 == 0 else "de", "s", 0) for i in range(160)]
+    foreign = [(200 + i, prose(rng, 1 + i % 3, 300, plain), "en", "s", 0) for i in range(9)]
+    without = [(300 + i, words_of(rng, 300, plain), "en", "s", 0) for i in range(9)]
+    mixed = [(400 + i, prose(rng, 0, 150, plain) + " " + prose(rng, 1, 150, plain), "en", "s", 0) for i in range(5)]
+    # a third of the language: one text with symbols, and copies of it
+    hot = prose(rng, 0, 300, plain, "#$%&##$%&")
+    ridden = [(500 + i, hot, "en", "hot", 0) for i in range(50)]
+    short = [(600, " ".join(plain[:50]), "en", "s", 0), (601, prose(rng, 2, 60, plain), "en", "s", 0)]
+    rows = [*clean, *foreign, *without, *mixed, *ridden, *short]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, DOCUMENTS)).collect()}
+    assert all(not got[r[0]]["base_failed"] for r in rows)
+    assert {d for d, r in got.items() if not r["kept"]} == {r[0] for r in [*foreign, *without, *ridden]}
+    assert got[600]["share_distance"] is None and got[601]["word_distance"] is None
+
+
+def test_quality_equals_its_sql_on_small_cases(spark, odd, vocabulary, tmp_path):
+    rng = random.Random(18)
+    rows = [(i, prose(rng, i % 4, rng.randint(5, 400), vocabulary), [None, "en", "de"][i % 3], "s", 0) for i in range(60)]
+    rows += [(100, "The THE the, it's\u00e9the \u212anow", "en", "s", 0), (101, None, None, None, None), (102, "", "xx", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    docs.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    cur = con.execute(ORACLE["op4_quality"])
+    want = [dict(zip([c[0] for c in cur.description], r, strict=True)) for r in cur.fetchall()]
+    got = [r.asDict() for r in quality.judge(docs).collect()]
+    by_id = lambda r: r["doc_id"]
+    assert sorted(got, key=by_id) == sorted(want, key=by_id) and len(got) == len(rows)
+
+
 # -- decontamination ---------------------------------------------------------------
 
 
