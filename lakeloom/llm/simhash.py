@@ -36,6 +36,7 @@ PORTION = 100_000  # fingerprints of small blocks that a task holds at a time
 ROOM = 64 << 20  # bytes that a search takes for the pairs it has open
 BLOCK_KEY = ("route", "left", "right")
 ROUTES, ROUTE_ROWS = 16, 4  # of the search by similarity
+ROUTES_FIRST = (1, 4)  # routes of the first round, and of the first two
 _SEEDS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, ROUTES * ROUTE_ROWS), dtype=np.uint64)
 _TURN, _ODD = _SEEDS[0], _SEEDS[1] | np.uint64(1)
 _BITS = np.array([[(v >> (7 - j)) & 1 for j in range(8)] for v in range(256)], np.int64)
@@ -378,18 +379,20 @@ def with_sets(docs: DataFrame, width: int, n_words: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _candidates(limit: int, low: int, high: int, rows: int = PORTION):
-    """Pairs of a block within the limit, of each one those at places ``low`` to ``high`` by nearness.
+def _candidates(limit: int, first: int, rows: int = PORTION):
+    """Pairs of a block within the limit, of each one those at places from the block's ``low`` on by nearness.
 
-    Pairs that have one label already are left out. A block with pairs at later places is
-    named in a row without pair.
+    The first ``first`` places come first, then always eight times as many. Pairs that have
+    one label already are left out. A block with pairs at later places is named, with its
+    next place, in a row without pair.
     """
 
     def run(batches):
         for table in _portions(batches, rows):
             keys = np.stack([table.column(c).to_numpy() for c in BLOCK_KEY])
             blocks = np.concatenate(([0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))))
-            label = table.column("label").to_numpy()
+            label, low = table.column("label").to_numpy(), table.column("low").to_numpy()
+            high = np.where(low == 0, first, 8 * low)
             heads = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
             mixed = np.minimum.reduceat(label, heads) != np.maximum.reduceat(label, heads)
             some = np.flatnonzero(mixed[blocks])
@@ -406,18 +409,19 @@ def _candidates(limit: int, low: int, high: int, rows: int = PORTION):
                 start = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1]))) if len(a) else np.zeros(0, int)
                 place = np.arange(len(a)) - np.repeat(start, np.diff(np.append(start, len(a))))
                 open_ = label[row[a]] != label[row[b]]
-                later.update(np.unique(blocks[row[a[open_ & (place >= high)]]]).tolist())
-                now = open_ & (place >= low) & (place < high)
+                later.update(np.unique(blocks[row[a[open_ & (place >= high[row[a]])]]]).tolist())
+                now = open_ & (place >= low[row[a]]) & (place < high[row[a]])
                 if not now.any():
                     continue
                 x, y = (node.take(pa.array(row[i[now]])).combine_chunks() for i in (a, b))
                 none = pa.nulls(len(x), pa.int64())
-                yield pa.RecordBatch.from_arrays([x, y, none, none, none], names=["a", "b", *BLOCK_KEY])
+                yield pa.RecordBatch.from_arrays([x, y, none, none, none, none], names=["a", "b", *BLOCK_KEY, "low"])
             if later:
                 at = heads[sorted(later)]
                 none = pa.nulls(len(at), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [none, none, *[pa.array(k[at].astype(np.int64)) for k in keys]], names=["a", "b", *BLOCK_KEY]
+                    [none, none, *[pa.array(k[at].astype(np.int64)) for k in (*keys, high)]],
+                    names=["a", "b", *BLOCK_KEY, "low"],
                 )
 
     return run
@@ -449,29 +453,42 @@ def _similar(percent: int) -> Column:
 
 
 def similar_groups(
-    docs: DataFrame, prints: DataFrame, width: int, limit: int, percent: int, block: int = BLOCK, first: int = 2
+    docs: DataFrame, prints: DataFrame, width: int, limit: int, percent: int, block: int = BLOCK, first: int = 1
 ) -> DataFrame:
     """a, b: each node but the smallest of a group, and the smallest; links are checked by exact Jaccard similarity.
 
-    Pairs come in rounds, the nearest of each node first; pairs that a round before has
-    put in one group need no check, so that a large group of near copies costs a few pairs
-    a member. The rounds end when every pair is checked or within a group.
+    Pairs come in rounds, the nearest of each node in one route first, then those in three
+    more routes and in the rest, and farther ones where a round has left some. Pairs that a
+    round before has put in one group need no check, so that a large group of near copies,
+    whose members meet in every route, costs a few pairs a member. The rounds end when every
+    pair is checked or within a group.
     """
     distinct = pinned(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("routes").alias("routes")))
-    routed = pinned(distinct.select("node", "fp", F.explode("routes").alias("route")))
+    routed = distinct.select("node", "fp", F.posexplode("routes").alias("k", "route"))
+    begin = F.when(F.col("k") < ROUTES_FIRST[0], 0).when(F.col("k") < ROUTES_FIRST[1], 1).otherwise(2)
+    routed = pinned(routed.select("node", "fp", "route", begin.alias("begin")))
     size = routed.groupBy("route").agg(F.count("*").alias("n")).filter("n > 1")
     parts = pinned(size.select("route", F.ceil(F.col("n") / block).cast("int").alias("parts")))
     met = pinned(
         routed.join(parts, "route")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-        .select("route", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "node", "fp")
+        .select("route", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "node", "fp", "begin")
     )
-    rows, star, low, high = met.withColumn("label", F.xxhash64("node")), None, 0, first
+    fields = [*BLOCK_KEY, "node", "fp", "low"]
+    star, open_, turn = None, None, 0
     while True:
+        rows = met.filter(F.col("begin") == turn).withColumn("low", F.lit(0).cast("long")).select(*fields)
+        if open_ is not None:
+            rows = rows.unionByName(met.join(open_, list(BLOCK_KEY)).select(*fields))
+        if star is None:
+            rows = rows.withColumn("label", F.xxhash64("node"))
+        else:
+            named = star.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            rows = rows.join(named, "node", "left").select(*fields, F.xxhash64(F.coalesce("root", "node")).alias("label"))
         dealt = rows.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
         found = pinned(
-            dealt.mapInArrow(_candidates(limit, low, high), "a binary, b binary, route long, left long, right long")
+            dealt.mapInArrow(_candidates(limit, first), "a binary, b binary, route long, left long, right long, low long")
         )
         pairs = pinned(found.filter("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         sets = pinned(_sets(docs, prints, pairs, width))
@@ -479,14 +496,10 @@ def similar_groups(
         both = of_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
         checked = both.filter(_similar(percent)).select("a", "b")
         star = components(checked if star is None else star.unionByName(checked))
-        open_ = pinned(found.filter("a is null").select(*BLOCK_KEY).distinct())
-        if open_.isEmpty():
+        open_ = pinned(found.filter("a is null").groupBy(*BLOCK_KEY).agg(F.min("low").alias("low")))
+        turn += 1
+        if turn > len(ROUTES_FIRST) and open_.isEmpty():
             return star
-        label = F.xxhash64(F.coalesce("root", "node"))
-        named = star.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        rows = met.join(open_, list(BLOCK_KEY), "left_semi").join(named, "node", "left")
-        rows = rows.select(*BLOCK_KEY, "node", "fp", label.alias("label"))
-        low, high = high, 8 * high
 
 
 def without_near_duplicates(
