@@ -2,14 +2,17 @@
 
 A small tree builder reads tags, closes what HTML leaves open (paragraphs, list items,
 table cells, options) and drops what is not shown: head, scripts, styles, templates,
-comments, ``hidden`` elements, ``display:none`` and ``visibility:hidden`` (inline or by a
-plain tag, class or id rule of a style sheet in the page), titles and definitions of drawings,
-annotations of formulas, and options that are not marked as selected. A renderer then writes all text
+comments, ``hidden`` elements, ``display:none`` (inline or by a plain tag, class or id rule of a
+style sheet in the page), titles and definitions of drawings, annotations of formulas, and options of a
+drop-down list but the chosen one (the last marked, or else the first that is not disabled).
+``visibility`` is inherited: a visible element in a hidden one is shown. A renderer then writes all text
 that is left: blocks on lines of their own, blank lines around paragraphs, headings, lists and tables, list markers
-with indents, line breaks, preformatted text as it is, and table cells in aligned columns.
+with indents, line breaks, preformatted text as it is, and table cells in aligned columns, those that
+span rows or columns included. Padding is bounded, text never: a cell wider than ``MAX_PAD`` is not
+padded against, and a column that starts beyond ``MAX_LINE`` follows the one before after two blanks.
 
 Defined cases: a null or empty page gives an empty text. Unclosed and stray tags never
-lose text: a ``<`` that opens no tag is text, and an open head ends where the HTML standard ends it. Nesting beyond ``MAX_DEPTH`` is flattened, text is kept.
+lose text: a ``<`` that opens no tag is text, a tag with an unclosed quote ends at the next ``>``, and an open head ends where the HTML standard ends it. Nesting beyond ``MAX_DEPTH`` is flattened, text is kept.
 Repeated pages get equal texts. Extra columns of the input are not looked at.
 """
 
@@ -55,7 +58,10 @@ BARRIERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "p": {"td",
 TABLE_PARTS = {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "colgroup"}
 
 MAX_DEPTH = 400
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+MAX_PAD = 80  # characters that a cell is padded to at most
+MAX_LINE = 240  # characters of a line within which columns are aligned
+MAX_SPANNED = 100  # columns in which spans are followed
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -69,9 +75,43 @@ class Node:
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _hides(style: str) -> bool:
+def _styled(style: str) -> tuple[bool, bool | None]:
+    """Whether a style removes an element, and the visibility that it sets, if it sets one."""
     flat = _SPACE.sub("", style.lower())
-    return "display:none" in flat or "visibility:hidden" in flat
+    last = max(("hidden", "collapse", "visible"), key=lambda v: flat.rfind("visibility:" + v))
+    return "display:none" in flat, (last == "visible") if "visibility:" + last in flat else None
+
+
+class Rules:
+    """What the style sheets of a page remove, and the visibility that they set; the last rule of a selector holds."""
+
+    def __init__(self):
+        self.removed: set[str] = set()
+        self.visible: dict[str, bool] = {}
+
+    def read(self, sheet: str) -> None:
+        for selectors, style in _RULE.findall(sheet):
+            removes, visible = _styled(style)
+            for selector in map(str.strip, selectors.split(",")):
+                if removes:
+                    self.removed.add(selector)
+                if visible is not None:
+                    self.visible[selector] = visible
+
+    def shown(self, node: Node, inherited: bool) -> bool:
+        """The visibility of an element, given that of its parent."""
+        style = node.attributes.get("style") if node.attributes else None
+        own = _styled(style)[1] if style else None
+        if own is None and self.visible:
+            own = next((self.visible[n] for n in _names(node) if n in self.visible), None)
+        return inherited if own is None else own
+
+
+def _names(node: Node) -> list[str]:
+    """Plain selectors that name an element, the strongest first."""
+    a = node.attributes
+    marks = ["#" + a.get("id", ""), *(f".{c}" for c in a.get("class", "").split())]
+    return [*(node.tag + m for m in marks), *marks, node.tag]
 
 
 def _foreign(node: Node) -> Node | None:
@@ -105,10 +145,10 @@ def _ends(node: Node, tag: str) -> Node:
         node = at.parent
 
 
-def build(page: str) -> tuple[Node, list[str]]:
-    """The tree, and the selectors that a style sheet in the page hides."""
+def build(page: str) -> tuple[Node, Rules]:
+    """The tree, and the rules of the style sheets in the page."""
     root = node = Node("#root", {}, None)
-    hidden: list[str] = []
+    rules = Rules()
     at, lowered, drawn = 0, None, False
     for m in iter(lambda: _TAG.search(page, at), None):
         if m.start() > at:
@@ -144,7 +184,7 @@ def build(page: str) -> tuple[Node, list[str]]:
             end = lowered.find(f"</{tag}", at) if len(lowered) == len(page) else page.find(f"</{tag}", at)
             end = len(page) if end < 0 else end
             if tag == "style":
-                hidden += [s.strip() for sel, rule in _RULE.findall(page[at:end]) if _hides(rule) for s in sel.split(",")]
+                rules.read(page[at:end])
             element.children.append(page[at:end])
             close = page.find(">", end)
             at = close + 1 if close >= 0 else len(page)
@@ -152,50 +192,50 @@ def build(page: str) -> tuple[Node, list[str]]:
             node = element
     if at < len(page):
         _text(node, page[at:])
-    return root, hidden
+    return root, rules
 
 
-def _seen(node: Node, hidden: set[str]) -> bool:
+def _seen(node: Node, rules: Rules) -> bool:
     if node.tag in UNSEEN or node.tag in FOREIGN_UNSEEN and _foreign(node.parent):
         return False
     a = node.attributes
-    if a and ("hidden" in a or _hides(a.get("style", "")) or node.tag == "input"):
+    if a and ("hidden" in a or node.tag == "input" or _styled(a.get("style") or "")[0]):
         return False
-    if hidden:
-        names = {node.tag} | {f".{c}" for c in a.get("class", "").split()} | {"#" + a.get("id", "")}
-        names |= {node.tag + n for n in names if n[0] in ".#"}
-        return not names & hidden
-    return True
+    return not rules.removed or rules.removed.isdisjoint(_names(node))
 
 
-def _span(cell: Node) -> int:
-    """Columns of a cell, 1,000 at most as in the standard."""
-    value = cell.attributes.get("colspan", "")
-    return min(1000, max(1, int(value))) if re.fullmatch(r"[0-9]{1,9}", value) else 1
+def _span(cell: Node, name: str, most: int) -> int:
+    """Columns or rows of a cell; 0 rows are all that are left."""
+    value = cell.attributes.get(name, "") or ""
+    n = int(value) if re.fullmatch(r"[0-9]{1,9}", value) else 1
+    return most if n == 0 and name == "rowspan" else min(most, max(1, n))
 
 
-def _chosen(select: Node, hidden: set[str]) -> list[Node]:
-    """The options that a page marks as selected: the last one; of a list box all options."""
+def _chosen(select: Node, rules: Rules) -> list[Node]:
+    """The option that is shown: the last one marked, or the first not disabled; of a list box all options."""
     options, left = [], [select]
     while left:
         node = left.pop()
         if node.tag == "option":
             options.append(node)
         elif node is select or node.tag == "optgroup":
-            left += [c for c in reversed(node.children) if not isinstance(c, str) and _seen(c, hidden)]
-    size = select.attributes.get("size", "")
+            left += [c for c in reversed(node.children) if not isinstance(c, str) and _seen(c, rules)]
+    size = select.attributes.get("size", "") or ""
     if "multiple" in select.attributes or re.fullmatch(r"[0-9]{1,9}", size) and int(size) > 1:
         return options
-    return [o for o in options if "selected" in o.attributes][-1:]
+    free = [o for o in options if "disabled" not in o.attributes and "disabled" not in o.parent.attributes]
+    return [o for o in options if "selected" in o.attributes][-1:] or free[:1]
 
 
 class Renderer:
     """Lines of text under an indent; a line is closed by the block that ends it."""
 
-    def __init__(self, hidden: set[str]):
-        self.hidden, self.lines, self.now, self.indent, self.marker = hidden, [], [], "", ""
+    def __init__(self, rules: Rules, shown: bool = True):
+        self.rules, self.shown, self.lines, self.now, self.indent, self.marker = rules, shown, [], [], "", ""
 
     def text(self, value: str, pre: bool) -> None:
+        if not self.shown:
+            return
         value = html.unescape(value) if "&" in value else value
         if pre:
             first, *rest = value.split("\n")
@@ -228,103 +268,147 @@ class Renderer:
         for child in node.children:
             if isinstance(child, str):
                 self.text(child, pre)
-                continue
-            tag = child.tag
-            if not _seen(child, self.hidden):
-                continue
-            if tag == "br":
+            elif _seen(child, self.rules):
+                was, self.shown = self.shown, self.rules.shown(child, self.shown)
+                self.element(child, pre, ordered)
+                self.shown = was
+
+    def element(self, child: Node, pre: bool, ordered: list | None) -> None:
+        tag = child.tag
+        if tag == "br":
+            if self.shown:
                 self.close(keep=True)
-            elif tag == "img":
-                if child.attributes.get("alt"):
-                    self.text(child.attributes["alt"], pre)
-            elif tag == "hr":
-                self.gap()
-            elif tag == "select":
-                for option in _chosen(child, self.hidden):
-                    self.text(" ", False)
-                    self.walk(option)
-                    self.text(" ", False)
-            elif tag == "text":  # labels of a drawing stand apart
+        elif tag == "img":
+            if child.attributes.get("alt"):
+                self.text(child.attributes["alt"], pre)
+        elif tag == "hr":
+            self.gap()
+        elif tag == "select":
+            for option in _chosen(child, self.rules):
                 self.text(" ", False)
-                self.walk(child, pre, ordered)
+                self.walk(option)
                 self.text(" ", False)
-            elif tag == "table":
-                self.gap()
-                self.table(child)
-                self.gap()
-            elif tag in ("ul", "ol", "menu"):
-                (self.gap if not self.indent else self.close)()
-                start = child.attributes.get("start", "")
-                self.walk(child, pre, [int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1] if tag == "ol" else None)
-                (self.gap if not self.indent else self.close)()
-            elif tag == "li":
-                self.close()
-                mark = "- "
-                if ordered:
-                    mark, ordered[0] = f"{ordered[0]}. ", ordered[0] + 1
-                was, self.marker = self.indent, self.indent + mark
-                self.indent += " " * len(mark)
-                self.walk(child, pre)
-                self.close()
-                self.indent, self.marker = was, ""
-            elif tag in BLOCKS:
-                (self.gap if tag in SPACED else self.close)()
-                was = self.indent
-                self.indent += "  " if tag in ("blockquote", "dd") else ""
-                self.walk(child, pre or tag == "pre")
-                (self.gap if tag in SPACED else self.close)()
-                self.indent = was
-            else:
-                self.walk(child, pre, ordered)
+        elif tag == "text":  # labels of a drawing stand apart
+            self.text(" ", False)
+            self.walk(child, pre, ordered)
+            self.text(" ", False)
+        elif tag == "table":
+            self.gap()
+            self.table(child)
+            self.gap()
+        elif tag in ("ul", "ol", "menu"):
+            (self.gap if not self.indent else self.close)()
+            start = child.attributes.get("start", "")
+            self.walk(child, pre, [int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1] if tag == "ol" else None)
+            (self.gap if not self.indent else self.close)()
+        elif tag == "li":
+            self.close()
+            mark = "- "
+            if ordered:
+                mark, ordered[0] = f"{ordered[0]}. ", ordered[0] + 1
+            mark = mark if self.shown else " " * len(mark)
+            was, self.marker = self.indent, self.indent + mark
+            self.indent += " " * len(mark)
+            self.walk(child, pre)
+            self.close()
+            self.indent, self.marker = was, ""
+        elif tag in BLOCKS:
+            (self.gap if tag in SPACED else self.close)()
+            was = self.indent
+            self.indent += "  " if tag in ("blockquote", "dd") else ""
+            self.walk(child, pre or tag == "pre")
+            (self.gap if tag in SPACED else self.close)()
+            self.indent = was
+        else:
+            self.walk(child, pre, ordered)
 
     def table(self, table: Node) -> None:
         """Rows of cells, each column as wide as its widest cell; cells of several lines take several rows.
 
-        A cell that spans columns is followed by empty ones.
+        Places that a cell spans beside its first one are empty.
         """
         rows, captions = [], []
 
+        def row_of(row: Node, spans: list[int]) -> None:
+            """The texts of a row; ``spans`` holds how many rows more each column is taken from above."""
+            texts, below = [], []
+
+            def place(text: str, more: int) -> None:
+                texts.append(text)
+                if len(below) < MAX_SPANNED:
+                    below.append(more)
+
+            def taken() -> None:
+                while len(texts) < len(spans) and spans[len(texts)]:
+                    place("", spans[len(texts)] - 1)
+
+            loose = []
+            for child in row.children:
+                if isinstance(child, str) or child.tag not in ("td", "th"):
+                    loose.append(child)
+                elif _seen(child, self.rules):
+                    taken()
+                    more = _span(child, "rowspan", 65534) - 1
+                    place(self.block(child), more)
+                    for _ in range(_span(child, "colspan", 1000) - 1):
+                        if len(texts) < MAX_SPANNED:
+                            place("", more)
+            ends = max((k + 1 for k, n in enumerate(spans) if n), default=0)
+            while len(texts) < ends:
+                place("", max(0, spans[len(texts)] - 1))
+            spans[:] = below
+            rows.append(texts if len(loose) < len(row.children) else [])
+            captions.extend(x for x in (self.block_of(loose),) if x.strip())
+
         def cells(node: Node) -> None:
+            spans: list[int] = []
             for child in node.children:
                 if isinstance(child, str):
-                    if child.strip():
+                    if child.strip() and self.shown:
                         captions.append(_SPACE.sub(" ", html.unescape(child)).strip())
-                elif not _seen(child, self.hidden):
                     continue
-                elif child.tag in ROW_GROUPS:
+                if not _seen(child, self.rules):
+                    continue
+                was, self.shown = self.shown, self.rules.shown(child, self.shown)
+                if child.tag in ROW_GROUPS:
                     cells(child)
                 elif child.tag == "tr":
-                    row = [c for c in child.children if not isinstance(c, str) and c.tag in ("td", "th") and _seen(c, self.hidden)]
-                    inside = set(map(id, row))
-                    loose = [c for c in child.children if id(c) not in inside]
-                    rows.append([t for c in row for t in (self.block(c), *[""] * (_span(c) - 1))])
-                    captions.extend(x for x in (self.block_of(loose),) if x.strip())
+                    row_of(child, spans)
                 elif child.tag in ("td", "th"):
-                    rows.append([self.block(child)])
+                    rows.append([self.block_of(child.children)])
                 else:
-                    captions.append(self.block(child))
+                    captions.append(self.block_of(child.children))
+                self.shown = was
 
         cells(table)
         self.lines += [self.indent + line for c in captions for line in c.split("\n") if line]
+        split = [[c.split("\n") for c in row] for row in rows]
         width: list[int] = []
-        for row in rows:
+        for row in split:
             for k, cell in enumerate(row):
-                wide = max(map(len, cell.split("\n")))
+                wide = max((len(line) for line in cell if len(line) <= MAX_PAD), default=0)
                 if k < len(width):
                     width[k] = max(width[k], wide)
                 else:
                     width.append(wide)
-        for row in rows:
-            high = [c.split("\n") for c in row]
-            for i in range(max(map(len, high), default=0)):
-                line = "  ".join((h[i] if i < len(h) else "").ljust(w) for h, w in zip(high, width, strict=False))
-                self.lines.append((self.indent + line).rstrip())
+        aligned, at = 0, 0
+        while aligned < len(width) and at <= MAX_LINE:
+            at += width[aligned] + 2
+            aligned += 1
+        for row in split:
+            for i in range(max(map(len, row), default=0)):
+                parts = [cell[i] if i < len(cell) else "" for cell in row]
+                near = [p.ljust(w) for p, w in zip(parts[:aligned], width, strict=False)]
+                self.lines.append((self.indent + "  ".join([*near, *filter(None, parts[aligned:])])).rstrip())
 
     def block(self, node: Node) -> str:
-        return self.block_of(node.children)
+        was, self.shown = self.shown, self.rules.shown(node, self.shown)
+        text = self.block_of(node.children)
+        self.shown = was
+        return text
 
     def block_of(self, children: list) -> str:
-        inner, holder = Renderer(self.hidden), Node("#cell", {}, None)
+        inner, holder = Renderer(self.rules, self.shown), Node("#cell", {}, None)
         holder.children = children
         inner.walk(holder)
         return inner.done()
@@ -337,8 +421,8 @@ class Renderer:
 def render(page: str) -> str:
     # nested tables take several calls a level
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 10 * MAX_DEPTH))
-    root, hidden = build(page)
-    out = Renderer(set(hidden))
+    root, rules = build(page)
+    out = Renderer(rules)
     out.walk(root)
     return out.done()
 

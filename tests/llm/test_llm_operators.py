@@ -167,7 +167,9 @@ def test_sharding_odd_rows(spark, odd, none, tmp_path):
         ("<dl><dt>t<dd>d<dt>u<dd>e</dl>", "t\n  d\nu\n  e"),
         ("</div>stray</p>end <a href='>'>link</a>", "stray\n\nend link"),
         ("<p>unclosed <b>tag <i", "unclosed tag"),
-        ("<select><option>o</select><textarea>area &lt;</textarea>", "area <"),
+        ("<select><option>o</select><textarea>area &lt;</textarea>", "o area <"),
+        ("<a href=\"x>b", "b"),
+        ("<p title='it>one</p>two", "one\n\ntwo"),
     ],
 )
 def test_rendering(page, text):
@@ -206,6 +208,8 @@ def test_drawings_and_formulas_are_seen(page, text):
 
 def test_selected_options_are_seen():
     assert html_text.render("in <select><option>red<option selected>blue<option>green</select> ink") == "in blue ink"
+    assert html_text.render("<select><option disabled>pick<option>red<option>blue</select>") == "red"
+    assert html_text.render("<select><optgroup disabled label=g><option>a</optgroup><option>b</select>") == "b"
     assert html_text.render("<select multiple><option>a<optgroup label=g><option>b</select>") == "a b"
 
 
@@ -232,6 +236,49 @@ def test_pages_odd_rows(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p style=visibility:hidden>no <b style=visibility:visible>yes</b> no", "yes"),
+        ("<style>.h{visibility:hidden}.v{visibility:visible}</style><div class=h>a<p class=v>b<i class=h>c</i></p>d</div>e", "b\n\ne"),
+        ("<div style='display:none'>a<p style='visibility:visible'>b</div>c", "c"),
+        ("<ol><li style=visibility:hidden>a<li>b</ol>", "2. b"),
+        ("<table><tr style=visibility:collapse><td>a<td style=visibility:visible>b<tr><td>ccc<td>d</table>", "     b\nccc  d"),
+        ("<style>.h{visibility:hidden}</style><img class=h alt=no><svg class=h><text>n</text></svg>y<br>z", "y\nz"),
+        ("a<span style=visibility:hidden><br>x</span>b", "ab"),
+    ],
+)
+def test_visibility_is_inherited(page, text):
+    assert html_text.render(page).rstrip() == text.rstrip()
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>", "A  B\n   C"),
+        ("<table><tr><td>a<td rowspan=0>b<td>c<tr><td>d<td>e<tr><td>f<td>g</table>", "a  b  c\nd     e\nf     g"),
+        ("<table><tr><td rowspan=2 colspan=2>x<td>1<tr><td>2<tr><td>p<td>q<td>r</table>", "x     1\n      2\np  q  r"),
+        ("<table><tbody><tr><td rowspan=9>a<td>b</tbody><tbody><tr><td>c<td>d</table>", "a  b\nc  d"),
+        ("<table><tr><td rowspan=3>a<td>b<tr></tr><tr><td>c</table>", "a  b\n   c"),
+    ],
+)
+def test_cells_over_several_rows(page, text):
+    assert html_text.render(page) == text
+
+
+def test_padding_is_bounded():
+    """Text of one long cell among many short ones, spans that cover everything, and many columns."""
+    long = "x" * 50_000
+    page = f"<table><tr><td>{long}<td>e</tr>" + "<tr><td>a<td>b</tr>" * 2_000 + "</table>"
+    assert html_text.render(page) == "\n".join([long + "  e", *["a  b"] * 2_000])
+    rows = "".join(f"<tr><td colspan=1000 rowspan=65534>{i}<td>{i}</tr>" for i in range(3_000))
+    out = html_text.render(f"<table>{rows}</table>")
+    assert len(out) < 20 * len(rows) and out.split() == [str(i) for i in range(3_000) for _ in range(2)]
+    wide = "<table>" + ("<tr>" + "<td>" * 300 + "z</tr>") * 300 + "<tr>" + f"<td>{'w' * 70}" * 300 + "</table>"
+    out = html_text.render(wide)
+    assert len(out) < 3 * len(wide) and out.split() == ["z"] * 300 + ["w" * 70] * 300
+
+
 # -- quality -----------------------------------------------------------------------
 
 
