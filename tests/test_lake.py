@@ -11,6 +11,7 @@ import pyarrow.fs
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from lakeloom.operators import base_tables, combine, estimate, subtables
 from lakeloom.plans import jobs
 from lakeloom.session import fresh_folder
@@ -200,6 +201,17 @@ def test_company_with_two_spaces(spark, facts_of):
     assert base_tables.unmatched_companies(companies, facts.limit(0)).count() == 1
 
 
+def test_companies_of_one_name_meet_counted_targets(spark, facts_of):
+    """Every company meets every target of its name; equal targets come to the join as one row."""
+    sizes = [1000, 1000, 1000, 2000]
+    table = spark.createDataFrame([("Big co", i, n) for i, n in enumerate(sizes)], "name string, id int, `current employee estimate` int")
+    facts = facts_of([("<big_co>", "p", "x"), ("<BIG_co>", "p", "x")])
+    got = sorted((r["id"], r["col_to_embed"], r["target"]) for r in base_tables.companies(table, facts).collect())
+    assert got == sorted((i, s, math.log10(n)) for i in range(4) for s in ("<big_co>", "<BIG_co>") for n in sizes)
+    counted = base_tables._counted_targets(base_tables._formatted(table, "current employee estimate", 1000), facts, "current employee estimate")
+    assert sorted(r["__n_targets"] for r in counted.collect()) == [1, 1, 3, 3]
+
+
 def test_accidents_equal_the_join_back(spark, facts_of):
     rng = random.Random(1)
     events = [("AL", rng.choice(["Mobile", "Auburn"]), rng.choice(["X", "Y"]), f"2019-0{rng.randint(1, 9)}-11", rng.randint(1, 4))
@@ -376,3 +388,14 @@ def test_samples_do_not_shuffle_the_rows(spark):
     assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
     counts = out.groupBy("replica").agg(F.count("*").alias("n"), F.countDistinct("row_key").alias("d")).collect()
     assert [(r["n"], r["d"]) for r in counts] == [(1400, 1400)] * 2
+
+
+@pytest.mark.parametrize("name", ["src_6_documents", "src_7_documents"])
+def test_documents_are_written_by_several_tasks(spark, tmp_path, monkeypatch, name):
+    rows = [(i, f'one "{i}",\ntwo', "en", "s", 9) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(4)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tasks, write = [], queries.sinks.write_table
+    monkeypatch.setattr(queries.sinks, "write_table", lambda df, *a, **k: tasks.append(df.rdd.getNumPartitions()) or write(df, *a, **k))
+    got = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted((int(r["doc_id"]), r["text"]) for r in got) == [(i, t) for i, t, *_ in rows] and tasks[0] > 1
