@@ -33,6 +33,13 @@ def with_columns(schema: StructType, *fields: tuple[str, str]) -> StructType:
     return StructType([*schema.fields, *added.fields])
 
 
+def slices(batches, rows: int = 256):
+    """Batches of few rows: whole texts are Python strings for so many documents at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column of a batch as Python strings, nulls as empty ones."""
     return [v or "" for v in batch.column(batch.schema.get_field_index(name)).to_pylist()]

@@ -80,19 +80,19 @@ def measured(docs: DataFrame) -> DataFrame:
         F.array_remove(F.split("text", f"{BLANKS}+"), "").alias("words"),
         F.array_remove(F.split("text", TOKEN_END), "").alias("tokens"),
     )
-    short = F.filter("tokens", lambda w: F.length(w) <= max(map(len, COMMON)))
-    short = F.transform(short, lambda w: F.translate(w, UPPER, LOWER))
+    # no letter beyond ASCII becomes one of these words in lower case
+    used = F.transform(F.filter("tokens", lambda w: (F.length(w) <= max(map(len, COMMON))) & F.lower(w).isin(COMMON)), F.lower)
     rows = rows.select(
         "doc_id", "lang", "chars",
         F.size("tokens").alias("n_tokens"),
-        F.filter(short, lambda w: w.isin(COMMON)).alias("used"),
+        used.alias("used"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("words").cast("long").alias("n_words"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
     at, used = F.col("hashes"), F.size("used")
-    # counts of a word: what array_remove takes away from the few that are common
-    common = F.array(*[(used - F.size(F.array_remove("used", w))).cast("long") for w in COMMON])
+    # one loop over the words: an expression for each would make a method too large to be compiled
+    common = F.transform(F.array(*map(F.lit, COMMON)), lambda w: F.size(F.filter("used", lambda x: x == w)).cast("long"))
     share = F.array(used, F.col("n_tokens") - used).cast("array<long>")
     rows = rows.withColumn("common", common).withColumn("share", share).drop("used", "n_tokens")
     # windows of 2, 4 and 5 words, each from the one before

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import strings, text_of
+from lakeloom.llm.common import slices, strings, text_of
 from lakeloom.session import pinned
 
 SEED = 42
@@ -83,7 +83,7 @@ def with_fingerprints(docs: DataFrame, width: int = 3, n_words: int = 1) -> Data
     schema = "doc_id long, row_hash long, fp binary"
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t, width, n_words) for t in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["doc_id", "row_hash", "fp"]
@@ -361,7 +361,7 @@ def with_sets(docs: DataFrame, width: int, n_words: int) -> DataFrame:
     schema = "doc_id long, row_hash long, node binary, fp binary, routes array<long>"
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [_set_of(t, width) for t in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -432,7 +432,7 @@ def _sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, width: int) -> D
     once = text.join(chosen, "row_hash", "left_semi")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [_set_of(t, width) for t in strings(batch, "text")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node_of(h) for h in sets], pa.binary()), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))],

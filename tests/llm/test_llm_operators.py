@@ -917,3 +917,21 @@ def test_mined_rules_match_like_every_rule_on_every_url(spark):
         if fits:
             want[tuple(t)] = max(fits)
     assert got == want
+
+
+def test_rules_hold_items_of_any_place(spark):
+    """An item that goes with the label less than eleven others of its urls is in a rule all the same."""
+    rng, names = random.Random(3), [f"n{i:02}" for i in range(24)]
+    rows = [(sorted(["x", "y", *rng.sample(names, 11)]), True) for _ in range(60)]
+    rows += [([n], False) for n in names for _ in range(3)] + [(["x"], False)] * 60 + [(["y"], False)] * 60
+    frame = spark.createDataFrame(rows, "tokens array<string>, blocked boolean")
+    rules = url_rules.mine(frame, 0.08, 0.9).collect()
+    assert ["x", "y"] in [r["tokens"] for r in rules if r["confidence"] == 1]
+
+
+def test_texts_are_held_a_few_at_a_time():
+    from lakeloom.llm.common import slices
+
+    batch = pa.RecordBatch.from_pydict({"text": [str(i) for i in range(600)]})
+    parts = list(slices([batch]))
+    assert max(p.num_rows for p in parts) == 256 and [v for p in parts for v in p.column(0).to_pylist()] == [str(i) for i in range(600)]
