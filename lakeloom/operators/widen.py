@@ -96,7 +96,7 @@ def first_values(facts: DataFrame, k: int) -> DataFrame:
 
 def _map_fields(entries: Column) -> Column:
     """Array of (predicate, v, …) structs, sorted, to a map from predicate to its array of (v, n)."""
-    names = F.array_distinct(F.transform(entries, lambda e: e["predicate"]))
+    names = F.array_distinct(entries["predicate"])
     return F.map_from_arrays(
         names,
         F.transform(
@@ -110,7 +110,8 @@ def _map_fields(entries: Column) -> Column:
 
 def _maps(entries: DataFrame, *order: str) -> DataFrame:
     """Rows of ``(subject, predicate, v, n)`` to ``(subject, fields)``, sorted by predicate and then ``order``."""
-    listed = F.array_sort(F.collect_list(F.struct("predicate", *order, "n")))
+    # sort_array: array_sort compares by an interpreted function
+    listed = F.sort_array(F.collect_list(F.struct("predicate", *order, "n")))
     return (
         entries.groupBy("subject").agg(listed.alias("listed")).select("subject", _map_fields(F.col("listed")).alias("fields"))
     )
@@ -307,8 +308,9 @@ def product_rows(subjects: DataFrame, spread: bool = False) -> DataFrame:
     copies = F.col("copies") if "copies" in names else F.lit(1).cast("long")
     part = F.col("part") if "part" in names else F.lit(0).cast("long")
     # bounded: a piece has about PIECE values, repeats included
+    repeated = lambda a: F.flatten(F.transform(a, lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
     arrays = F.transform(
-        F.map_values("fields"), lambda a: F.flatten(F.transform(a, lambda x: F.array_repeat(x["v"], x["n"].cast("int"))))
+        F.map_values("fields"), lambda a: F.when(F.array_max(a["n"]) <= 1, a["v"]).otherwise(repeated(a))
     )
     numbered = subjects.select(
         "seed_table", "subject", copies.alias("copies"), part.alias("part"), F.map_keys("fields").alias("names"), arrays.alias("arrays")
