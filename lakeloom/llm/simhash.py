@@ -23,7 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import slices, strings, text_of
@@ -33,6 +33,7 @@ SEED = 42
 FAN = 8  # children of a node
 BLOCK = 20_000  # fingerprints of one block that one task searches
 PORTION = 100_000  # fingerprints of small blocks that a task holds at a time
+SHINGLES = 1 << 21  # of the sets that a task holds at a time, or of a part of a route
 ROOM = 64 << 20  # bytes that a search takes for the pairs it has open
 BLOCK_KEY = ("route", "left", "right")
 ROUTES, ROUTE_ROWS = 16, 4  # of the search by similarity
@@ -209,31 +210,38 @@ class GrayIndex:
         return q[near], node[near]
 
 
+def united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after the links a-b: the smallest member of each one's group."""
+    while len(a):
+        least = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], least)
+        np.minimum.at(label, label[b], least)
+        label = label[label]
+        open_ = label[a] != label[b]
+        a, b = a[open_], b[open_]
+    while (label[label] != label).any():
+        label = label[label]
+    return label
+
+
 def forest(n: int, portions) -> np.ndarray:
     """The smallest member of each one's group, from links in portions."""
     label = np.arange(n)
     for a, b in portions:
-        while len(a):
-            least = np.minimum(label[a], label[b])
-            np.minimum.at(label, label[a], least)
-            np.minimum.at(label, label[b], least)
-            label = label[label]
-            open_ = label[a] != label[b]
-            a, b = a[open_], b[open_]
-    while (label[label] != label).any():
-        label = label[label]
+        label = united(label, a, b)
     return label
 
 
-def _portions(batches, rows: int):
-    """Tables of whole blocks from batches in block order; a table holds about so many rows, or one block."""
-    kept, held = [], 0
+def _portions(batches, rows: int, shingles: int | None = None):
+    """Tables of whole blocks from batches in block order; a table holds about so many rows or shingles, or one block."""
+    kept, held, weight = [], 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
         kept.append(batch)
         held += batch.num_rows
-        if held < rows:
+        weight += len(batch.column("shingles").flatten()) if shingles else 0
+        if held < rows and (not shingles or weight < shingles):
             continue
         table = pa.Table.from_batches(kept).combine_chunks()
         keys = np.stack([table.column(c).to_numpy() for c in BLOCK_KEY])
@@ -242,6 +250,7 @@ def _portions(batches, rows: int):
         if cut:
             yield table.slice(0, cut)
         kept, held = table.slice(cut).to_batches(), table.num_rows - cut
+        weight = sum(len(x.column("shingles").flatten()) for x in kept) if shingles else 0
     if held:
         yield pa.Table.from_batches(kept).combine_chunks()
 
@@ -378,54 +387,95 @@ def with_sets(docs: DataFrame, width: int, n_words: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _candidates(limit: int, low: int, high: int, rows: int = PORTION):
-    """Pairs of a block within the limit, of each one those at places ``low`` to ``high`` by nearness.
+def _partnered(limit: int, rows: int = PORTION):
+    """Of each block the rows that another one is near to."""
+
+    def run(batches):
+        for table in _portions(batches, rows):
+            keys = np.stack([table.column(c).to_numpy() for c in BLOCK_KEY])
+            blocks = np.concatenate(([0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))))
+            fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64)
+            index = GrayIndex(fps.reshape(table.num_rows, -1), blocks)
+            near = np.zeros(table.num_rows, bool)
+            for a, b in index.pairs(limit):
+                near[index.order[a]] = near[index.order[b]] = True
+            yield from table.select(["route", "node"]).filter(pa.array(near)).to_batches()
+
+    return run
+
 
-    Pairs that have one label already are left out. A block with pairs at later places is
-    named in a row without pair.
+class _Shingles:
+    """Sets of shingles, numbered, one after the other."""
+
+    def __init__(self, lists: pa.ListArray, order: np.ndarray):
+        ends = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        different, self.ids = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        self.start, self.size = ends[:-1][order], np.diff(ends)[order]
+        self.held = np.zeros(len(different), bool)
+
+    def similar(self, x: np.ndarray, y: np.ndarray, percent: int, room: int = 1 << 20) -> np.ndarray:
+        """Whether the sets x and y are that similar, by exact Jaccard similarity; so many shingles at a time."""
+        out = np.zeros(len(x), bool)
+        order = np.argsort(x, kind="stable")
+        for places in np.split(order, np.flatnonzero(np.diff(x[order])) + 1) if len(x) else []:
+            one = x[places[0]]
+            own = self.ids[self.start[one] : self.start[one] + self.size[one]]
+            self.held[own] = True
+            cuts = np.flatnonzero(np.diff(np.cumsum(self.size[y[places]]) // room)) + 1
+            for some in np.split(places, cuts):
+                n = self.size[y[some]]
+                stop = np.cumsum(n)
+                at = np.arange(stop[-1]) + np.repeat(self.start[y[some]] - stop + n, n)
+                hits = np.concatenate(([0], np.cumsum(self.held[self.ids[at]])))
+                both = hits[stop] - hits[stop - n]
+                out[some] = 100 * both >= percent * (len(own) + n - both)
+            self.held[own] = False
+        return out
+
+
+def _similar_forest(limit: int, percent: int, first: int, shingles: int, rows: int = PORTION):
+    """In each block a spanning forest of its links; every pair is checked or within a group.
+
+    The ``first`` nearest of each node are checked first, then eight times as many, and so on;
+    pairs that links before have put in one group need no check. A pair that meets in several
+    routes is left to the first of them.
     """
 
     def run(batches):
-        for table in _portions(batches, rows):
+        for table in _portions(batches, rows, shingles):
             keys = np.stack([table.column(c).to_numpy() for c in BLOCK_KEY])
             blocks = np.concatenate(([0], np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))))
-            label = table.column("label").to_numpy()
-            heads = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
-            mixed = np.minimum.reduceat(label, heads) != np.maximum.reduceat(label, heads)
-            some = np.flatnonzero(mixed[blocks])
-            if not len(some):
-                continue
-            fps = np.frombuffer(b"".join(table.column("fp").take(pa.array(some)).to_pylist()), ">u8").astype(np.uint64)
-            index = GrayIndex(fps.reshape(len(some), -1), blocks[some])
-            node, row = table.column("node"), some[index.order]
-            later = set()
+            fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), ">u8").astype(np.uint64)
+            index = GrayIndex(fps.reshape(table.num_rows, -1), blocks)
+            route = keys[0][index.order]
+            routes = pa.concat_arrays(table.column("routes").chunks).flatten().to_numpy().reshape(-1, ROUTES)[index.order]
+            sets = _Shingles(pa.concat_arrays(table.column("shingles").chunks), index.order)
+            label = np.arange(table.num_rows)
             for a, b in index.pairs(limit):
+                met = (routes[a] == routes[b]).argmax(axis=1)
+                here = (routes[a, met] == route[a]) & (label[a] != label[b])
+                a, b = a[here], b[here]
                 far = np.bitwise_count(index.fps[a] ^ index.fps[b]).sum(axis=1)
                 order = np.lexsort((b, far, a))
                 a, b = a[order], b[order]
                 start = np.flatnonzero(np.concatenate(([True], a[1:] != a[:-1]))) if len(a) else np.zeros(0, int)
                 place = np.arange(len(a)) - np.repeat(start, np.diff(np.append(start, len(a))))
-                open_ = label[row[a]] != label[row[b]]
-                later.update(np.unique(blocks[row[a[open_ & (place >= high)]]]).tolist())
-                now = open_ & (place >= low) & (place < high)
-                if not now.any():
-                    continue
-                x, y = (node.take(pa.array(row[i[now]])).combine_chunks() for i in (a, b))
-                none = pa.nulls(len(x), pa.int64())
-                yield pa.RecordBatch.from_arrays([x, y, none, none, none], names=["a", "b", *BLOCK_KEY])
-            if later:
-                at = heads[sorted(later)]
-                none = pa.nulls(len(at), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [none, none, *[pa.array(k[at].astype(np.int64)) for k in keys]], names=["a", "b", *BLOCK_KEY]
-                )
+                upto = first
+                while len(a):
+                    now = place < upto
+                    same = sets.similar(a[now], b[now], percent)
+                    label = united(label, a[now][same], b[now][same])
+                    open_ = ~now & (label[a] != label[b])
+                    a, b, place, upto = a[open_], b[open_], place[open_], 8 * upto
+            own = np.flatnonzero(label != np.arange(len(label)))
+            x, y = (table.column("node").take(pa.array(index.order[i])).combine_chunks() for i in (own, label[own]))
+            yield pa.RecordBatch.from_arrays([x, y], names=["a", "b"])
 
     return run
 
 
-def _sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """node and its distinct shingle hashes, of the nodes in pairs, from one row each."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _sets(docs: DataFrame, prints: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node and its distinct shingle hashes, of the given nodes, from one row each."""
     rows = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row_hash").alias("row_hash"))
     chosen = pinned(rows.select("row_hash").distinct())
     text = docs.select(row_hash(docs).alias("row_hash"), text_of(docs).alias("text"))
@@ -442,10 +492,11 @@ def _sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, width: int) -> D
     return once.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
-def _similar(percent: int) -> Column:
-    """Whether the distinct shingles x and y are that similar; a pair at a time, however long the two are."""
-    both = F.size(F.array_intersect("x", "y"))
-    return 100 * both >= percent * (F.size("x") + F.size("y") - both)
+def _in_parts(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows of ``(route, node)`` in every block that they are part of: every two parts of a route meet."""
+    own, other = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.explode(F.expr("sequence(0, parts - 1)"))
+    met = rows.join(parts, "route").withColumn("own", own).withColumn("other", other)
+    return met.withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other")).drop("own", "other", "parts")
 
 
 def similar_groups(
@@ -453,40 +504,24 @@ def similar_groups(
 ) -> DataFrame:
     """a, b: each node but the smallest of a group, and the smallest; links are checked by exact Jaccard similarity.
 
-    Pairs come in rounds, the nearest of each node first; pairs that a round before has
-    put in one group need no check, so that a large group of near copies costs a few pairs
-    a member. The rounds end when every pair is checked or within a group.
+    Pairs never are rows. The nodes of a route that another one is near to bring their sets
+    to the blocks of the route, once a route; there pairs are checked, the nearest of each
+    node first. What leaves a block is a link a node at most.
     """
     distinct = pinned(prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("routes").alias("routes")))
     routed = pinned(distinct.select("node", "fp", F.explode("routes").alias("route")))
     size = routed.groupBy("route").agg(F.count("*").alias("n")).filter("n > 1")
     parts = pinned(size.select("route", F.ceil(F.col("n") / block).cast("int").alias("parts")))
-    met = pinned(
-        routed.join(parts, "route")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-        .select("route", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), "node", "fp")
-    )
-    rows, star, low, high = met.withColumn("label", F.xxhash64("node")), None, 0, first
-    while True:
-        dealt = rows.repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
-        found = pinned(
-            dealt.mapInArrow(_candidates(limit, low, high), "a binary, b binary, route long, left long, right long")
-        )
-        pairs = pinned(found.filter("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        sets = pinned(_sets(docs, prints, pairs, width))
-        of_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        both = of_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        checked = both.filter(_similar(percent)).select("a", "b")
-        star = components(checked if star is None else star.unionByName(checked))
-        open_ = pinned(found.filter("a is null").select(*BLOCK_KEY).distinct())
-        if open_.isEmpty():
-            return star
-        label = F.xxhash64(F.coalesce("root", "node"))
-        named = star.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        rows = met.join(open_, list(BLOCK_KEY), "left_semi").join(named, "node", "left")
-        rows = rows.select(*BLOCK_KEY, "node", "fp", label.alias("label"))
-        low, high = high, 8 * high
+    dealt = _in_parts(routed, parts).repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    near = pinned(dealt.mapInArrow(_partnered(limit), "route long, node binary").distinct())
+    sets = pinned(_sets(docs, prints, near.select("node").distinct(), width))
+    # a block is as many rows as one task searches, and as many shingles as it holds
+    held = near.join(sets.select("node", F.size("shingles").alias("size")), "node").groupBy("route")
+    n_parts = F.ceil(F.greatest(F.count("*") / block, F.sum("size") / SHINGLES))
+    parts = pinned(held.agg(F.greatest(n_parts, F.lit(1)).cast("int").alias("parts")))
+    known = sets.join(distinct, "node")
+    dealt = _in_parts(near, parts).join(known, "node").repartition(*BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY)
+    return components(dealt.mapInArrow(_similar_forest(limit, percent, first, SHINGLES), "a binary, b binary"))
 
 
 def without_near_duplicates(

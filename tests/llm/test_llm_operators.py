@@ -804,6 +804,27 @@ def test_rounds_check_every_pair_that_groups_do_not_settle(spark, vocabulary):
         }
 
 
+@pytest.mark.parametrize("shingles", [simhash.SHINGLES, 4000])
+def test_no_row_for_each_pair_of_a_large_group(spark, vocabulary, monkeypatch, shingles):
+    """Texts that are all near to one another, most of them below 0.8: as many rows as texts in routes, no pairs."""
+    rng = random.Random(31)
+    base = words_of(rng, 150, vocabulary).split()
+    texts = []
+    for _ in range(160):
+        words = list(base)
+        for at in rng.sample(range(5, 145, 7), rng.choice([1, 2, 5, 6])):
+            words[at] = rng.choice(vocabulary)
+        texts.append(" ".join(words))
+    root, pairs = similar_by_hand(texts)
+    assert 1 < len(set(root)) < 160
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCUMENTS)
+    monkeypatch.setattr(simhash, "SHINGLES", shingles)
+    written, pinned = [], simhash.pinned
+    monkeypatch.setattr(simhash, "pinned", lambda df: (out := pinned(df), written.append(out.count()))[0])
+    assert {r["doc_id"] for r in simhash.without_near_duplicates(docs).collect()} == set(root)
+    assert max(written) <= simhash.ROUTES * len(texts) < len(pairs) + 160 * 159 / 4
+
+
 # -- urls --------------------------------------------------------------------------
 
 
