@@ -825,6 +825,28 @@ def test_no_row_for_each_pair_of_a_large_group(spark, vocabulary, monkeypatch, s
     assert max(written) <= simhash.ROUTES * len(texts) < len(pairs) + 160 * 159 / 4
 
 
+@pytest.mark.parametrize("bits", [2, quality.PLACE_BITS, 60])
+def test_repeated_windows_by_places(spark, vocabulary, monkeypatch, bits):
+    """Places that need more bits than there are, and hashes cut so short that most windows may be repeated."""
+    monkeypatch.setattr(quality, "PLACE_BITS", bits)
+    monkeypatch.setattr(quality, "PLACE", (1 << bits) - 1)
+    rng = random.Random(37)
+    texts = [None, "", "a a a a a a a", "a b c d e a b c d e"]
+    for _ in range(40):
+        words = words_of(rng, rng.randrange(4, 90), vocabulary[:40]).split()
+        at, n = rng.randrange(len(words)), rng.randrange(1, 12)
+        texts.append(" ".join(words + words[at : at + n]))
+    by_hand = []
+    for t in texts:
+        words = (t or "").split()
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        by_hand.append(len({i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}))
+    assert sum(map(bool, by_hand)) > 10
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCUMENTS)
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality.measured(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == by_hand
+
+
 # -- urls --------------------------------------------------------------------------
 
 
