@@ -3,6 +3,7 @@
 import itertools
 import json
 import math
+import os
 import random
 import time
 
@@ -68,6 +69,35 @@ def test_combination_tables_need_more_than_the_minimum(spark, policy):
     assert got == want
 
 
+def test_combinations_of_a_subject_with_many_rows(spark, monkeypatch):
+    """Subjects beyond the limit, one of them without a name, give the same tables as those within."""
+    raw = [("T", None if i % 7 == 0 else f"s{i % 5}", i, {c: str(i % k) for c, k in (("a", 3), ("b", 5), ("c", 2)) if i % 4}) for i in range(300)]
+    raw += [("T", f"t{i}", i, {"a": "1"}) for i in range(20)] + raw[:40]
+    rows = spark.createDataFrame(raw, ROW_SCHEMA)
+    layout = spark.createDataFrame([("T", ["a", "b", "c"])], "seed_table string, columns array<string>")
+    want = {c: {(s, *[a.get(x) for x in c]) for _, s, _, a in raw if any(x in a for x in c)} for c in itertools.combinations("abc", 2)}
+    for limit in (10_000, 25, 1):
+        monkeypatch.setattr(combine, "SUBJECT_ROWS", limit)
+        manifest, kept = combine.combination_tables(rows, layout, (2,), 10)
+        listed = {r["subtable_id"]: tuple(r["cols"]) for r in manifest.collect()}
+        got = [(listed[r["subtable_id"]], (r["subject"], *r["cells"])) for r in kept.collect()]
+        assert sorted(got, key=str) == sorted(((c, x) for c, v in want.items() for x in v), key=str)
+        assert {tuple(r["cols"]): r["n_rows"] for r in manifest.collect()} == {c: len(v) for c, v in want.items()}
+
+
+def test_combinations_write_no_cut_rows(spark):
+    """What is cut from the rows, 220 tables of them here, is counted and not written to the shared folder."""
+    wide = [f"c{i:02}" for i in range(12)]
+    rows = spark.createDataFrame([("T", f"s{i}", i, {c: f"{c}-{i}" for c in wide}) for i in range(300)], ROW_SCHEMA)
+    layout = spark.createDataFrame([("T", wide)], "seed_table string, columns array<string>")
+    shared = session.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    manifest, kept = combine.combination_tables(rows, layout, (3,), 10)
+    assert [r["n_rows"] for r in manifest.collect()] == [300] * 220 and kept.count() == 300 * 220
+    made = [f"{shared}/{f}" for f in set(os.listdir(shared)) - before]
+    assert made and sum(spark.read.parquet(f).count() for f in made if os.listdir(f)) < 10 * 300
+
+
 def test_combination_with_exactly_the_minimum(spark):
     rows = spark.createDataFrame([("T", f"s{i}", i, {"a": "1"}) for i in range(10)], ROW_SCHEMA)
     layout = spark.createDataFrame([("T", ["a", "b"])], "seed_table string, columns array<string>")
