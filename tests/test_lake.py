@@ -396,6 +396,32 @@ def test_lakes_are_read_in_tasks(spark):
     assert [(r["row_index"], r["cells"]["id"]) for r in whole] == [(i, str(i)) for i in range(1000)]
 
 
+def test_files_that_nobody_asks_for_are_left_unopened(spark):
+    root = fresh_folder(spark, "lake")
+    spark.range(3).write.parquet(f"{root}/kept/one.parquet")
+    fs = pa.fs.LocalFileSystem()
+    fs.create_dir(f"{root}/_own")
+    with fs.open_output_stream(f"{root}/_own/rows.parquet") as out:
+        out.write(b"not a table")
+    rows = tables.lake_rows(spark, root, hidden=True, only=F.col("location").contains("/kept/")).collect()
+    assert sorted(r["cells"]["id"] for r in rows) == ["0", "1", "2"]
+
+
+def test_rows_read_from_a_folder_each_are_written_without_a_shuffle(spark):
+    rows = rows_for(spark, 6, 5).coalesce(2)
+    dest = {gathered: fresh_folder(spark, "many") for gathered in (False, True)}
+    for gathered, path in dest.items():
+        many_tables.write_tables(rows, path, gathered=gathered)
+    read = {g: sorted((r["table"], str(r["cells"])) for r in tables.lake_rows(spark, p).collect()) for g, p in dest.items()}
+    assert read[True] == read[False] and len(read[True]) == 25
+
+
+def test_numbers_of_text_beyond_what_arrow_reads():
+    got = many_tables._numbers(pa.array(["1", "+2", None, "1e999", ".5", "1."])).to_pylist()
+    assert got == [1.0, 2.0, None, math.inf, 0.5, 1.0]
+    assert tables._texts(pa.array([1.5, None, -0.0, 0.0, 1e22, 1.5])).to_pylist() == ["1.5", None, "-0.0", "0.0", "1e+22", "1.5"]
+
+
 def test_second_run_leaves_no_old_tables(spark):
     path = fresh_folder(spark, "lake")
     for names in ("ab", "c"):
