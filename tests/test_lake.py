@@ -422,6 +422,34 @@ def test_numbers_of_text_beyond_what_arrow_reads():
     assert tables._texts(pa.array([1.5, None, -0.0, 0.0, 1e22, 1.5])).to_pylist() == ["1.5", None, "-0.0", "0.0", "1e+22", "1.5"]
 
 
+def test_gathered_rows_are_neither_shuffled_nor_sorted(spark, tmp_path, monkeypatch):
+    """Also where a task has more folders than it keeps open, and twice over one folder."""
+    rows = spark.range(600).selectExpr("id % 20 AS k", "id AS v").coalesce(2)
+    want = sorted((r["k"], r["v"]) for r in rows.collect())
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    for most in (64, 3):
+        monkeypatch.setattr(sinks, "OPEN_FILES", most)
+        sinks.write_partitioned(rows, f"{tmp_path}/out", "k", gathered=True)
+        found = spark.read.parquet(f"{tmp_path}/out")
+        assert sorted((r["k"], r["v"]) for r in found.collect()) == want and spark.conf.get(key) == before
+    assert 20 <= len(found.inputFiles()) <= 40
+
+
+def test_last_pass_of_the_samples_takes_rows_dealt_otherwise(spark):
+    """One cut row serves all replicas, and rows dealt in another way give the same subtables."""
+    rows, _ = seeds(spark)
+    specs = spark.createDataFrame([("T", "all", 0, ["a", "b"]), ("T", "all", 1, ["c", "b", "d"])], subtables.SPEC_SCHEMA)
+    counted = subtables.keep_specs(subtables.count_specs(rows, specs), 10)
+    listed = lambda df: sorted((r["subtable_id"], r["replica"], r["subject"], str(r["cells"])) for r in df.collect())
+    out = subtables.subtable_rows(rows, counted, 2, 0.7)
+    assert listed(out) == listed(subtables.subtable_rows(rows, counted, 2, 0.7, dealt=rows.repartition(5, "seed_table", "subject")))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    for exact in (True, False):
+        assert {r["replica"] for r in subtables.subtable_rows(rows, counted, 0, 0.7, exact=exact).collect()} == {0}
+
+
 def test_second_run_leaves_no_old_tables(spark):
     path = fresh_folder(spark, "lake")
     for names in ("ab", "c"):
